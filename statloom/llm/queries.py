@@ -8,20 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import common, exact_dedup, language_id, mixing, packing, token_output
+from statloom.llm import common, exact_dedup, fingerprint, language_id, mixing, packing, sharding, token_counts, token_output
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir), WORD_BPE)
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(common.documents(spark, sf_dir))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(common.documents(spark, sf_dir).select("doc_id", "text"), PIECES).select("doc_id", "n_words", "n_tokens")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(common.documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(common.documents(spark, sf_dir), keep=False).select("doc_id", "bytes", "shard", "shard_depth", "shard_bytes", "shard_rows")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(common.documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -39,7 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op4_exact_dedup, op8_source_mixing, op9_token_output, op10_language_id)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_order_minhash, op3_token_counts, op4_exact_dedup, op6_sharding, op8_source_mixing, op9_token_output, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -48,4 +61,19 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+        "op6_sharding": f"""
+            WITH RECURSIVE h AS (
+                SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+                       CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash FROM documents),
+            levels AS (
+                SELECT d, hash >> CAST(60 - d AS BIGINT) AS p, sum(bytes) AS b, count(*) AS n
+                FROM h, (SELECT unnest(range(13)) AS d) GROUP BY 1, 2),
+            tree AS (
+                SELECT d, p, b, n FROM levels WHERE d = 0
+                UNION ALL
+                SELECT l.d, l.p, l.b, l.n FROM tree t JOIN levels l ON l.d = t.d + 1 AND l.p >> 1 = t.p
+                WHERE t.b > {sharding.BYTE_LIMIT} AND t.n > 1)
+            SELECT doc_id, bytes, CASE WHEN d = 0 THEN '' ELSE lpad(bin(p), CAST(d AS INTEGER), '0') END AS shard,
+                   CAST(d AS INTEGER) AS shard_depth, CAST(b AS BIGINT) AS shard_bytes, n AS shard_rows
+            FROM h JOIN tree ON hash >> CAST(60 - d AS BIGINT) = p WHERE b <= {sharding.BYTE_LIMIT} OR n = 1""",
     }
