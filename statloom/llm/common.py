@@ -58,6 +58,9 @@ atexit.register(drop_saved)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table. Python workers of the session find this package even if they start in another folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

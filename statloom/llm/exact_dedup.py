@@ -10,9 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import common
@@ -191,19 +190,15 @@ def exact_dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     others have kept false). Columns of these four names in docs are replaced; other columns pass through if keep_text is
     true, else only doc_id. An empty table gives an empty table.
     """
-    out = ("keep_id", "group_size", "kept", "text_sha256")
-    docs = docs.drop(*out)
+    docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     keyed = docs.withColumn("__digest", digest(F.col("text")))
-    if not keep_text:
-        keyed = keyed.select("doc_id", "__digest")
-    keyed = keyed.withColumn("__row", F.monotonically_increasing_id())
-    slim = common.save(keyed.select("__row", "doc_id", F.col("__digest").alias("digest")), "digests") if not keep_text else None
-    base = keyed if slim is None else slim.withColumnRenamed("digest", "__digest")
-    rows = (slim if slim is not None else keyed.select("doc_id", F.col("__digest").alias("digest")))
-    found = common.save(groups(rows.select("doc_id", "digest")), "groups").withColumnRenamed("digest", "__digest")
-    joined = base.join(found, "__digest", "left")
-    top = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    twice = base.groupBy("doc_id").agg(F.count("*").alias("__n"), F.max("__row").alias("__last")).where("__n > 1").select(F.col("doc_id").alias("__twice"), "__last")
-    kept = top & (F.col("__last").isNull() | (F.col("__row") == F.col("__last")))
-    joined = joined.join(twice, F.col("doc_id").eqNullSafe(F.col("__twice")), "left")
-    return joined.withColumn("kept", kept).withColumn("text_sha256", F.lower(F.hex(F.substring("__digest", 1, 32)))).drop("__digest", "__row", "__twice", "__last")
+    slim = common.save(keyed.select("doc_id", F.col("__digest").alias("digest")), "digests")
+    found = common.save(groups(slim), "groups")
+    decided = slim.join(found, "digest").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    if keep_text:
+        once = decided.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), "keep_id", "group_size", "kept").dropDuplicates(["__id", "__key"])
+        decided = keyed.join(once, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))).drop("__id", "__key").withColumnRenamed("__digest", "digest")
+    # of rows that repeat both the doc_id and the text, one stays
+    turn = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("group_size"))
+    out = decided.withColumn("kept", F.col("kept") & (turn == 1)).withColumn("text_sha256", F.lower(F.hex(F.substring("digest", 1, 32))))
+    return out.drop("digest")

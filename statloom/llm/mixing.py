@@ -5,15 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import common
 
 #: Rows in a block on average, and most blocks of a source: the plan's size depends on the number of sources alone.
 BLOCK_ROWS, MOST_BLOCKS = 64, 2_048
-#: Output shards.
-SHARDS = 16
+#: Output shards, and the longest plan of draws that is broadcast; a longer one is shuffled.
+SHARDS, BROADCAST_DRAWS = 16, 200_000
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float = 3.0) -> list[float]:
@@ -73,8 +73,8 @@ def _block(found: list[Source], seed: int) -> Column:
     return F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), count).cast("int")
 
 
-def draws(sized: DataFrame, found: list[Source], shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(rows with __source, __block and __order; plan of draws: __source, __block, __epoch, __shard, __most).
+def draws(sized: DataFrame, found: list[Source], shards: int, seed: int) -> tuple[DataFrame, DataFrame, int]:
+    """(rows with __source, __block and __order; plan of draws: __source, __block, __epoch, __shard, __most; number of draws).
 
     A source's blocks are permuted. Whole passes take every block; the last pass takes blocks in that order until the target
     is met, the last of them only in part: __most is the words it may still take, null for a whole block.
@@ -109,7 +109,7 @@ def draws(sized: DataFrame, found: list[Source], shards: int, seed: int) -> tupl
         for shard, n in enumerate(quotas[:, i].tolist()):
             plan += [(i, b, e, shard, m) for b, e, m in picks[at : at + n]]
             at += n
-    return rows, spark.createDataFrame(plan, "__source int, __block int, __epoch int, __shard int, __most double")
+    return rows, spark.createDataFrame(plan, "__source int, __block int, __epoch int, __shard int, __most double"), len(plan)
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> DataFrame:
@@ -129,20 +129,19 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[fl
 
 def _drawn(sized: DataFrame, found: list[Source], shards: int, seed: int) -> DataFrame:
     """Rows joined with their draws; a row that isn't drawn has a null __shard."""
-    rows, plan = draws(sized, found, shards, seed)
-    spark = sized.sparkSession
-    aims = spark.createDataFrame([(i, s.size, s.target) for i, s in enumerate(found)], "__source int, source_size long, target double")
-    # the block that a last pass takes in part: a running sum over that block's rows decides
-    part = plan.where("__most is not null")
-    inside = rows.select("__source", "__block", "__order", "doc_id", "size").join(F.broadcast(part), ["__source", "__block"])  # a row a source
-    run = inside.selectExpr("*", "sum(size) over (partition by __source, __block order by __order, doc_id) as __run").where("__run <= __most + size / 2").select("__source", "__block", "__epoch", "doc_id", F.lit(True).alias("__fits")).distinct()
-    whole = plan.where("__most is null").select("__source", "__block", "__epoch", "__shard")
-    some = run.join(F.broadcast(part.select("__source", "__block", "__epoch", "__shard")), ["__source", "__block", "__epoch"])
-    rows = rows.join(F.broadcast(aims), "__source", "left")
-    first = rows.join(whole, ["__source", "__block"], "left")
-    picked = some.select(F.col("__source").alias("__s"), F.col("doc_id").alias("__d"), F.col("__epoch").alias("__e"), F.col("__shard").alias("__h"))
-    second = rows.join(picked, F.col("__source").eqNullSafe(F.col("__s")) & F.col("doc_id").eqNullSafe(F.col("__d"))).withColumnsRenamed({"__e": "__epoch", "__h": "__shard"}).drop("__s", "__d")
-    return first.unionByName(second.select(*first.columns))
+    rows, plan, draws_ = draws(sized, found, shards, seed)
+    aims = sized.sparkSession.createDataFrame([(i, s.size, s.target) for i, s in enumerate(found)], "__source int, source_size long, target double")
+    rows = rows.join(F.broadcast(aims), "__source", "left")  # a row a source
+    place = ["__source", "__block"]
+    whole = plan.where("__most is null").select(*place, "__epoch", "__shard")
+    first = rows.join(F.broadcast(whole) if draws_ <= BROADCAST_DRAWS else whole, place, "left")
+    # the block that a last pass takes in part, one a source: a running sum over that block's rows decides
+    part = F.broadcast(plan.where("__most is not null"))
+    run = Window.partitionBy(*place).orderBy("__order", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slim = rows.select(*place, "__order", "doc_id", "size").join(part, place).withColumn("__run", F.sum("size").over(run)).where("__run <= __most + size / 2")
+    fits = slim.select(F.col("doc_id").alias("__id"), F.col("__order").alias("__o"), F.col("__source").alias("__s")).distinct()
+    second = rows.join(part, place).drop("__most").join(fits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__order") == F.col("__o")) & (F.col("__source") == F.col("__s"))).drop("__id", "__o", "__s")
+    return first.unionByName(second)
 
 
 def taken(docs: DataFrame, shards: int = SHARDS, seed: int = 17, **aims: object) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import common, exact_dedup, fingerprint, language_id, mixing, packing, sharding, token_counts, token_output
+from statloom.llm import common, exact_dedup, fingerprint, language_id, mixing, ngram_join, packing, sharding, substring_dedup, token_counts, token_output
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -31,10 +31,19 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(common.documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(common.documents(spark, sf_dir), keep=False).select("doc_id", "bytes", "shard", "shard_depth", "shard_bytes", "shard_rows")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(common.documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(common.documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -52,7 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_order_minhash, op3_token_counts, op4_exact_dedup, op6_sharding, op8_source_mixing, op9_token_output, op10_language_id)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_order_minhash, op3_token_counts, op4_exact_dedup, op5_ngram_jaccard_join, op6_sharding, op7_substring_dedup, op8_source_mixing, op9_token_output, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
