@@ -59,3 +59,19 @@ def test_stream_equals_batch(spark, tmp_path):
     q.stop()
     got, want = partials.solve_partials(spark.table("sums")).first(), partials.solve_partials(partials.variant_partials(df)).first()
     assert np.allclose(got[2:], want[2:]) and got.n == 90
+
+
+def test_normalised_traits(spark):
+    rng = np.random.default_rng(4)
+    n = 300
+    age, smoking, sex = rng.uniform(20, 70, n), rng.normal(size=n), rng.integers(0, 2, n)
+    y = np.exp(0.05 * age + 3 * sex + 0.3 * rng.normal(size=n))
+    y[0] = 1e9
+    rows = [("t", i, int(sex[i]), float(age[i]), float(smoking[i]), float(y[i])) for i in range(n)]
+    got = models.normalise_trait(spark.createDataFrame(rows, "trait string, iid int, sex int, age double, smoking double, y double"), "trait").toPandas()
+    v = got.set_index("iid")["v"].astype(float)
+    assert np.isnan(v[0]) and v.notna().sum() == n - 1
+    for s in (0, 1):  # the sexes differ, so each is normalised alone
+        part = v[(sex == s) & v.notna().reindex(range(n)).to_numpy()]
+        assert abs(part.std() - 1) < 1e-6 and abs(part.mean()) < 1e-6
+        assert abs(np.corrcoef(part, age[part.index])[0, 1]) < 0.05
