@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -208,3 +209,68 @@ def encode(genotypes: np.ndarray, phenotypes: np.ndarray, seed: int) -> tuple[np
         f = rng.integers(1, 10, (n, n)).astype(float)
         if np.linalg.cond(f) < 1e8:
             return genotypes @ f, np.linalg.solve(f, phenotypes)
+
+
+#: Features in a block of the dense scan.
+BLOCK = 512
+
+
+def _blocks(long: DataFrame, feature: str, value: str, ids: list, q: np.ndarray, n_blocks: int) -> DataFrame:
+    """(names, data, scale): blocks of features by sample, covariates projected out, each row of unit length."""
+    known = long.sparkSession.sparkContext.broadcast(({x: i for i, x in enumerate(ids)}, q))  # as large as the cohort
+    kind = dict(long.dtypes)[feature]
+
+    def pack_rows(part: pd.DataFrame) -> pd.DataFrame:
+        place, basis = known.value
+        names, row = np.unique(part["f"].to_numpy(), return_inverse=True)
+        at = part["iid"].map(place)
+        ok = (at.notna() & part["v"].notna()).to_numpy()
+        x = np.full((len(names), len(place)), np.nan)
+        x[row[ok], at[ok].astype(int)] = part["v"].to_numpy(float)[ok]
+        mean = np.nanmean(np.where(np.isnan(x).all(1, keepdims=True), 0.0, x), axis=1)
+        x = np.where(np.isnan(x), mean[:, None], x)
+        x = x - x @ basis @ basis.T
+        scale = np.sqrt((x * x).sum(1))
+        flat = scale <= 1e-9 * np.sqrt(x.shape[1]) * (1 + np.abs(mean))
+        scale[flat] = 0.0
+        x = np.divide(x, scale[:, None], out=np.zeros_like(x), where=scale[:, None] > 0)
+        return pd.DataFrame({"names": [list(names)], "data": [x.tobytes()], "scale": [list(scale)]})
+
+    rows = long.select(F.pmod(F.xxhash64(feature), F.lit(n_blocks)).alias("b"), F.col(feature).alias("f"), "iid", F.col(value).cast("double").alias("v"))
+    return rows.groupBy("b").applyInPandas(lambda p: pack_rows(p), f"names array<{kind}>, data binary, scale array<double>")
+
+
+def scan(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame, min_abs_t: float | None = None) -> DataFrame:
+    """variant, phenotype, beta, se, t of every pair in one cohort: both sides are freed of intercept and covariates block by
+    block, and each pair of blocks is one matrix product. Pairs at or under min_abs_t never leave the kernel.
+
+    Missing values take their feature's mean. Constant features give zeros. Agrees with solve(study()) on complete data.
+    """
+    rows = covariates.select("iid", "c").collect()  # the cohort's samples
+    rows.sort(key=lambda r: r["iid"])
+    ids = [r["iid"] for r in rows]
+    c = np.column_stack([np.ones(len(rows)), *np.array([list(r["c"]) for r in rows], float).reshape(len(rows), -1).T])
+    u, s, _ = np.linalg.svd(c, full_matrices=False)
+    q = u[:, s > 1e-10 * s.max(initial=1.0)]
+    df = len(ids) - q.shape[1] - 1
+    count = lambda d, f: max(1, -(-d.select(f).distinct().count() // BLOCK))
+    g = _blocks(dosages, "variant", "g", ids, q, count(dosages, "variant"))
+    y = _blocks(phenotypes, "phenotype", "y", ids, q, count(phenotypes, "phenotype")).withColumnsRenamed({"names": "traits", "data": "values", "scale": "sizes"})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                names, data, scale, traits, values, sizes = (batch.column(j)[i] for j in range(6))
+                sg, sy = np.array(scale.as_py()), np.array(sizes.as_py())
+                r = np.frombuffer(data.as_py()).reshape(len(sg), -1) @ np.frombuffer(values.as_py()).reshape(len(sy), -1).T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    t = r * np.sqrt(df / np.maximum(1 - r * r, 1e-300))
+                    beta = np.where(sg[:, None] > 0, r * sy / sg[:, None], 0.0)
+                keep = np.ones(t.shape, bool) if min_abs_t is None else np.abs(t) > min_abs_t
+                a, b = np.nonzero(keep)
+                t, beta = t[a, b], beta[a, b]
+                se = np.divide(np.abs(beta), np.abs(t), out=np.zeros_like(t), where=t != 0)
+                yield pa.RecordBatch.from_arrays([names.values.take(pa.array(a)), traits.values.take(pa.array(b)), pa.array(beta), pa.array(se), pa.array(t)], names=["variant", "phenotype", "beta", "se", "t"])
+
+    kinds = dict(dosages.dtypes)["variant"], dict(phenotypes.dtypes)["phenotype"]
+    return g.crossJoin(y).mapInArrow(run, f"variant {kinds[0]}, phenotype {kinds[1]}, beta double, se double, t double")

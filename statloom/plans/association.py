@@ -284,3 +284,8 @@ def wilcoxon_w(spark, d):
     r = standins.long(Tables(spark, d)).select("feat", "label", ranks.average_rank("x", "feat").alias("r"))
     n = F.count_if(F.col("label") % 2 == 0)
     return r.groupBy("feat").agg((F.sum(F.when(F.col("label") % 2 == 0, F.col("r"))) - n * (n + 1) / 2).alias("w"))
+
+
+@query(f"SELECT variant, phenotype, round(gy / gg, 6) AS beta, round(gy / gg / sqrt((yy - gy * gy / gg) / (n - 3) / gg), 5) AS t FROM {_SWEPT}")
+def association_scan(spark, d):
+    return assoc.scan(*_study(Tables(spark, d))).select("variant", "phenotype", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))

@@ -69,6 +69,21 @@ def test_statistics_add_up(spark, study):
         assert np.allclose([got.beta, got.se, got.t, got.n, got.af], [whole.beta, whole.se, whole.t, whole.n, whole.af])
 
 
+def test_dense_scan_equals_statistics(spark, study, monkeypatch):
+    g, y, none, one = study
+    rng = np.random.default_rng(12)
+    more = spark.createDataFrame([(f"w{j}", i, float(rng.integers(0, 3))) for j in range(7) for i in range(6)] + [("flat", i, 1.0) for i in range(6)], "variant string, iid int, g double")
+    traits = spark.createDataFrame([(f"q{j}", i, float(rng.normal())) for j in range(5) for i in range(6)], "phenotype string, iid int, y double")
+    g, y = g.union(more), y.union(traits)
+    monkeypatch.setattr(assoc, "BLOCK", 3)
+    for c, k in ((none, 0), (one, 1)):
+        want = {(r.variant, r.phenotype): (r.beta, r.se, r.t) for r in assoc.solve(assoc.study(g, y, c, k)).collect()}
+        got = {(r.variant, r.phenotype): (r.beta, r.se, r.t) for r in assoc.scan(g, y, c).collect()}
+        assert got.keys() == want.keys() and all(np.allclose(got[x], want[x], atol=1e-7) for x in want)
+        top = {(r.variant, r.phenotype) for r in assoc.scan(g, y, c, 1.0).collect()}
+        assert top == {x for x, v in want.items() if abs(v[2]) > 1.0}
+
+
 def test_singular_system_is_zero(spark, study):
     g, y, none, _ = study
     flat = g.withColumn("g", F.lit(1.0))
