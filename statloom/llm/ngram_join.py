@@ -277,7 +277,8 @@ def ngram_join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     shared = common.save(shared_keys(slim, n, percent), "keys")
     near = components(common.save(candidates(shared, sets, percent), "candidates"))
     near = common.save(near.withColumnRenamed("node", "set_id").join(sets.select("set_id", "row"), "set_id"), "groups")
-    texts = slim.select("row", "text").join(near, "row").dropDuplicates(["set_id"]).select("root", "set_id", "text")
+    # the texts are shuffled at every size, lest small tables alone be broadcast and the plan change as they grow
+    texts = slim.select("row", "text").join(near.hint("merge"), "row").dropDuplicates(["set_id"]).select("root", "set_id", "text")
     roots = components(common.save(links(texts, percent, n), "links"))
     least = roots.join(sets.select(F.col("set_id").alias("node"), "least"), "node")
     named = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("node").alias("set_id"), "component_id")
