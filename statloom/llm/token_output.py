@@ -23,18 +23,13 @@ from pyspark.sql import functions as F
 
 from statloom.llm import common
 
-MAGIC, STEPS, BLOCK_IDS = b"CMRC\x01", 128, 1 << 20
+MAGIC, STEPS, BLOCK_IDS = b"CMRC\x01", 64, 1 << 20
 _TOP, _BOT, _SCALE = np.uint64(1 << 48), np.uint64(1 << 32), 32
-_MASK2, _MOST0, _GAIN0, _REBUILD = (1 << 18) - 1, 1 << 21, 24, 4
+_MASK2, _MOST0, _GAIN0, _REBUILD = (1 << 16) - 1, 1 << 21, 24, 4
 _STRETCH = np.array([round(256 * math.log((i + 0.5) / (4095.5 - i))) for i in range(4096)], np.int64)
 _SQUASH = np.array([min(4000, max(8, round(4096 / (1 + math.exp(-i / 256))))) for i in range(-2048, 2048)], np.int64)
 
 
-#: How a prediction's confidence (0: none yet, at most 15) goes on after a miss and after a hit, and whether it stays.
-_NEXT = np.array([[1 if c < 4 else c >> 1 for c in range(16)], [min(c + 1, 15) for c in range(16)]], np.int32).ravel()
-_STAYS = np.array([c > 3 for c in range(16)] + [True] * 16)
-
-
 class _Rates:
     """Adaptive shares of hits by context, as 12-bit numbers."""
 
@@ -62,7 +57,7 @@ class _Model:
         self.count = np.ones(vocabulary, np.int64)
         self.waiting: list[np.ndarray] = []
         self.steps = 0
-        # an entry is a predicted id + 1 and 4 bits of confidence; 0: none yet
+        # an entry is a predicted id + 1 and 4 bits of confidence, at most 15; 0: none yet
         self.after1, self.after2 = np.zeros(vocabulary + 1, np.int32), np.zeros(_MASK2 + 1, np.int32)
         self.last, self.before = np.full(lanes, vocabulary, np.int32), np.full(lanes, vocabulary, np.int32)
         self.agreed, self.paired, self.second = _Rates(16, 1, 2), _Rates(16, 16, 1), _Rates(16, 16, 1)
@@ -78,7 +73,8 @@ class _Model:
         while self.total > _MOST0:
             self.count = (self.count + 1) >> 1
             self.total = int(self.count.sum())
-        self.cum = np.zeros(self.size + 1, np.int32)
+        # quotients below 2**32 by numbers up to 2**21 are told from integers in doubles, so division is exact after truncation
+        self.cum = np.zeros(self.size + 1)
         np.cumsum(self.count, out=self.cum[1:])
 
     def _mix(self) -> None:
@@ -89,56 +85,66 @@ class _Model:
         p1 = np.clip(np.broadcast_to(self.second.p, self.p2.shape), 8, 4000) * np.array([1, 0])
         p1[:, 0] = 0
         f2, f1 = self.p2 << 20, ((4096 - self.p2) * p1 >> 12) << 20
-        self.part2, self.part1 = f2.ravel(), f1.ravel()
+        self.part2, self.head = f2.ravel(), (f2 + f1).ravel()
+        self.rest = (1 << _SCALE) - self.head.astype(float)
 
     def shares(self, n: int) -> None:
         """Predictions and contexts of the first n lanes."""
-        last = self.last[:n]
-        self.at2 = (last * np.int32(0x1E3779B1) + self.before[:n] * np.int32(0x05EBCA77) >> 9) & _MASK2
-        e2, e1 = self.after2[self.at2], self.after1[last]
-        self.conf2, self.conf1, self.id2, self.id1 = e2 & 15, e1 & 15, (e2 >> 4) - 1, (e1 >> 4) - 1
-        self.context = self.conf2 << 5 | self.conf1 << 1 | (self.id2 == self.id1)
-
-    def _rest(self, miss: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        c = self.context[miss]
-        head = self.part2[c] + self.part1[c]
-        return head, (1 << _SCALE) - head
+        self.at1 = self.last[:n].astype(np.intp)
+        self.at2 = (self.last[:n] * np.int32(0x1E3779B1) + self.before[:n] * np.int32(0x05EBCA77) >> 9 & _MASK2).astype(np.intp)
+        self.e2, self.e1 = self.after2.take(self.at2), self.after1.take(self.at1)
+        self.conf2, self.conf1, id2, id1 = self.e2 & 15, self.e1 & 15, self.e2 >> 4, self.e1 >> 4
+        self.context = ((self.conf2 << 5) + (self.conf1 << 1) + (id2 == id1)).astype(np.intp)
+        self.id2, self.id1 = id2 - 1, id1 - 1
+
+    def _low(self, context: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the parts of ids that neither prediction gave."""
+        rest, ids = self.rest.take(context), ids.astype(np.intp)
+        low = (rest * self.cum.take(ids) / self.total).astype(np.int64)
+        high = (rest * self.cum.take(ids + 1) / self.total).astype(np.int64)
+        return self.head.take(context) + low, high - low
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of each id's part of the interval."""
-        size, start = self.part2[self.context], np.zeros(len(ids), np.int64)
+        size, start = self.part2.take(self.context), np.zeros(len(ids), np.int64)
         self.hit2 = (ids == self.id2) & (size > 0)
         other = np.flatnonzero(~self.hit2)
-        c = self.context[other]
-        f2, f1 = size[other], self.part1[c]
-        now = ids[other]
-        hit = (now == self.id1[other]) & (f1 > 0)
+        c, now = self.context.take(other), ids.take(other)
+        first = size.take(other)
+        second = self.head.take(c) - first
+        hit = (now == self.id1.take(other)) & (second > 0)
         self.hit1 = other[hit]
-        start[self.hit1], size[self.hit1] = f2[hit], f1[hit]
+        start[self.hit1], size[self.hit1] = first[hit], second[hit]
         miss = ~hit
-        at, now, head = other[miss], now[miss], f2[miss] + f1[miss]
-        rest = (1 << _SCALE) - head
-        low = rest * self.cum[now] // self.total
-        start[at] = head + low
-        size[at] = rest * self.cum[now + 1] // self.total - low
+        at = other[miss]
+        start[at], size[at] = self._low(c[miss], now[miss])
         return start, size
 
-    def find(self, at: np.ndarray) -> np.ndarray:
-        """ids whose parts hold these places."""
-        f2 = self.part2[self.context]
-        ids = np.where(at < f2, self.id2, self.id1)
-        miss = np.flatnonzero(at >= f2 + self.part1[self.context])
-        head, rest = self._rest(miss)
-        t = ((at[miss] - head + 1) * self.total - 1) // rest
-        ids[miss] = np.searchsorted(self.cum[1:], t.astype(np.int32), side="right")
-        return ids
+    def find(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids whose parts hold these places; start and size of the parts."""
+        size, start = self.part2.take(self.context), np.zeros(len(at), np.int64)
+        self.hit2 = at < size
+        ids = self.id2.copy()
+        other = np.flatnonzero(~self.hit2)
+        c, place, first = self.context.take(other), at.take(other), size.take(other)
+        head = self.head.take(c)
+        hit = place < head
+        self.hit1 = other[hit]
+        ids[self.hit1], start[self.hit1], size[self.hit1] = self.id1[self.hit1], first[hit], (head - first)[hit]
+        miss = ~hit
+        at, c = other[miss], c[miss]
+        t = ((place[miss] - head[miss] + 1) * float(self.total) - 1) / self.rest.take(c)
+        now = np.searchsorted(self.cum[1:], np.floor(t), side="right")
+        ids[at] = now
+        start[at], size[at] = self._low(c, now)
+        return ids, start, size
 
     def update(self, ids: np.ndarray) -> None:
-        """Learn what the first lanes' ids were, after interval()."""
+        """Learn what the first lanes' ids were, after interval() or find()."""
         n = len(ids)
         every = np.bincount(self.context, minlength=512).reshape(16, 16, 2)
         hits = np.bincount(self.context[self.hit2], minlength=512).reshape(16, 16, 2)
-        seconds = np.bincount(self.context[self.hit1], minlength=512).reshape(16, 16, 2)
+        seconds = np.bincount(self.context.take(self.hit1), minlength=512).reshape(16, 16, 2)
         error = ((hits << 12) - every * self.p2) * (self.a - self.b) >> 10
         step = error.sum((0, 1)) // np.maximum(1, every.sum((0, 1))) >> 4
         self.weight = np.clip(self.weight + step, 0, 256)
@@ -146,8 +152,9 @@ class _Model:
         self.paired.update(every.sum(2, keepdims=True), hits.sum(2, keepdims=True))
         self.second.update((every - hits)[:, :, :1], seconds[:, :, :1])
         self._mix()
-        self.after2[self.at2] = self._entry(self.id2, self.conf2, ids)
-        self.after1[self.last[:n]] = self._entry(self.id1, self.conf1, ids)
+        fresh = (ids + 1 << 4) + 1
+        self.after2[self.at2] = self._entry(self.e2, self.conf2, self.id2 == ids, fresh)
+        self.after1[self.at1] = self._entry(self.e1, self.conf1, self.id1 == ids, fresh)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
         self.waiting.append(ids)
@@ -156,9 +163,40 @@ class _Model:
             self._sum()
 
     @staticmethod
-    def _entry(guess: np.ndarray, conf: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        state = conf | (guess == ids) << 4
-        return (np.where(_STAYS[state], guess, ids) + 1) << 4 | _NEXT[state]
+    def _entry(entry: np.ndarray, conf: np.ndarray, hit: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+        """A hit adds to the confidence; a miss halves one above 3 and else puts the new id there."""
+        return np.where(hit, entry + (conf < 15), np.where(conf > 3, entry - (conf + 1 >> 1), fresh))
+
+
+class _Lanes:
+    """State of a range coder for each lane; settle() yields the lanes whose top 16 bits are settled and shifts them out."""
+
+    def __init__(self, lanes: int) -> None:
+        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+
+    def unit(self, n: int) -> np.ndarray:
+        return self.span[:n] >> np.uint64(_SCALE)
+
+    def narrow(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        n = len(unit)
+        self.low[:n] += unit * start.view(np.uint64)
+        np.multiply(unit, size.view(np.uint64), out=self.span[:n])
+
+    def settle(self, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        a, b, go = self.low[:n], self.span[:n], None
+        while True:
+            out = (a ^ (a + b)) < _TOP
+            tight = ~out & (b < _BOT)
+            if tight.any():
+                b = np.where(tight, -a & (_BOT - np.uint64(1)), b)
+                out |= tight
+            at = np.flatnonzero(out)
+            if not len(at):
+                return
+            a, b, go = a.take(at), b.take(at), at if go is None else go.take(at)
+            yield go, a
+            a, b = a << np.uint64(16), b << np.uint64(16)
+            self.low[go], self.span[go] = a, b
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -170,34 +208,20 @@ def encode(ids: np.ndarray) -> bytes:
         raise ValueError("ids must be below 2**20")
     ids = ids.astype(np.int32)
     lanes = -(-n // STEPS)
-    model, low, span = _Model(size, lanes), np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+    model, coder = _Model(size, lanes), _Lanes(lanes)
     lane_out, word_out = [], []
     for t in range(min(n, STEPS)):
         active = lanes if (lanes - 1) * STEPS + t < n else lanes - 1
         now = ids[t::STEPS][:active]
         model.shares(active)
-        start, part = model.interval(now)
-        lo, sp = low[:active], span[:active]
-        r = sp >> np.uint64(_SCALE)
-        lo += r * start.astype(np.uint64)
-        np.multiply(r, part.astype(np.uint64), out=sp)
-        go = np.arange(active)
-        while True:
-            a, b = lo[go], sp[go]
-            same = (a ^ (a + b)) < _TOP
-            tight = ~same & (b < _BOT)
-            b = np.where(tight, -a & (_BOT - np.uint64(1)), b)
-            out = same | tight
-            go, a, b = go[out], a[out], b[out]
-            if not len(go):
-                break
+        coder.narrow(coder.unit(active), *model.interval(now))
+        for go, low in coder.settle(active):
             lane_out.append(go)
-            word_out.append((a >> np.uint64(48)).astype("<u2"))
-            lo[go], sp[go] = a << np.uint64(16), b << np.uint64(16)
+            word_out.append((low >> np.uint64(48)).astype("<u2"))
         model.update(now)
     for shift in (48, 32, 16, 0):
         lane_out.append(np.arange(lanes))
-        word_out.append((low >> np.uint64(shift)).astype("<u2"))
+        word_out.append((coder.low >> np.uint64(shift)).astype("<u2"))
     lane = np.concatenate(lane_out) if lane_out else np.empty(0, np.int64)
     words = np.concatenate(word_out)[np.argsort(lane.astype(np.int32), kind="stable")] if n else np.empty(0, "<u2")
     sizes = zlib.compress(np.bincount(lane, minlength=lanes).astype("<u4").tobytes(), 1)
@@ -220,29 +244,17 @@ def decode(block: bytes) -> np.ndarray:
     for _ in range(4 if n else 0):
         code = code << np.uint64(16) | words[at]
         at += 1
-    model, low, span = _Model(size, lanes), np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+    model, coder = _Model(size, lanes), _Lanes(lanes)
     ids = np.zeros((STEPS, lanes), np.int32)
     for t in range(min(n, STEPS)):
         active = lanes if (lanes - 1) * STEPS + t < n else lanes - 1
         model.shares(active)
-        lo, sp, co = low[:active], span[:active], code[:active]
-        r = sp >> np.uint64(_SCALE)
-        now = model.find(np.minimum((co - lo) // r, np.uint64((1 << _SCALE) - 1)).astype(np.int64))
-        start, part = model.interval(now)
-        lo += r * start.astype(np.uint64)
-        np.multiply(r, part.astype(np.uint64), out=sp)
-        go = np.arange(active)
-        while True:
-            a, b = lo[go], sp[go]
-            same = (a ^ (a + b)) < _TOP
-            tight = ~same & (b < _BOT)
-            b = np.where(tight, -a & (_BOT - np.uint64(1)), b)
-            out = same | tight
-            go, a, b = go[out], a[out], b[out]
-            if not len(go):
-                break
-            lo[go], sp[go] = a << np.uint64(16), b << np.uint64(16)
-            co[go] = co[go] << np.uint64(16) | words[at[go]]
+        unit = coder.unit(active)
+        place = np.minimum((code[:active] - coder.low[:active]) // unit, np.uint64((1 << _SCALE) - 1))
+        now, start, part = model.find(place.view(np.int64))
+        coder.narrow(unit, start, part)
+        for go, _ in coder.settle(active):
+            code[go] = code[go] << np.uint64(16) | words[at[go]]
             at[go] += 1
         model.update(now)
         ids[t, :active] = now
