@@ -81,18 +81,19 @@ def _windows_of(window: int):
 def spans(rows: DataFrame, window: int) -> DataFrame:
     """key and intervals, an array of (first word, end), of the rows (key, text) that have words to remove."""
     every = rows.mapInArrow(_blocks_of(window), _BLOCK)
-    # counted with partial sums by task, so an anchor that a third of the rows share is no large group
-    twice = every.groupBy("anchor").count().where("count > 1").select("anchor")
+    # counted with partial sums by task, so an anchor that a third of the rows share is no large group; as a table of its
+    # own, so that Spark can split that anchor's rows in the join
+    twice = common.save(every.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     held = common.save(every.join(twice, "anchor", "left_semi"), "blocks")
     kinds = held.groupBy("anchor", "span").agg(F.count("*").alias("c"), F.min_by(F.struct("key", "first", "n"), F.struct("key", "first")).alias("at"))
     kinds = common.save(kinds, "spans")
-    parted = kinds.groupBy("anchor").count().where("count > 1").select("anchor")
+    parted = common.save(kinds.groupBy("anchor").count().where("count > 1").select("anchor"), "parted")
     # one occurrence of each distinct span at the ends of factors
     ends = kinds.join(parted, "anchor", "left_semi").select("at.key", "anchor", "at.first", "at.n")
     listed = ends.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("listed"))
     windows = rows.join(listed, "key").select("key", "text", "listed").mapInArrow(_windows_of(window), "anchor long, hash long, key long, start int")
     windows = common.save(windows, "windows")
-    again = windows.groupBy("anchor", "hash").count().where("count > 1").select("anchor", "hash")
+    again = common.save(windows.groupBy("anchor", "hash").count().where("count > 1").select("anchor", "hash"), "again")
     single = windows.join(again, ["anchor", "hash"], "left_semi").select("key", "start", (F.col("start") + window).alias("end"))
     whole = held.join(kinds.where("c > 1").select("anchor", "span"), ["anchor", "span"], "left_semi").select("key", F.col("first").alias("start"), (F.col("first") + F.col("n") + (window - 1)).alias("end"))
     return whole.unionByName(single).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("intervals"))
