@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import tempfile
@@ -30,9 +31,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = saved_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = saved_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the shuffle files of plans that nothing refers to any more go now, not when the driver next happens to collect garbage
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
 
 
 def saved_path(spark: SparkSession, name: str) -> str:
@@ -57,10 +63,21 @@ def drop_saved() -> None:
 atexit.register(drop_saved)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table. Python workers of the session find this package even if they start in another folder."""
+#: Rows of texts that go to a Python worker at once.
+BATCH_ROWS = 1_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Small Arrow batches, since rows hold whole texts; workers find this package even if they start in another folder."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -183,7 +200,7 @@ class PieceTokenizer(dict):
     pieces; the tokenizers library's model encodes those it lacks. `most` bounds it: it starts anew beyond that.
     """
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -219,13 +236,6 @@ def tokenizer(path: str) -> PieceTokenizer:
     return _loaded[path]
 
 
-def small_batches(texts: list, most_bytes: int = 4_000_000):
-    """Index ranges of at most so many characters, a longer text alone."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > most_bytes:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def release() -> None:
+    """Drop a worker's tokenizers: operators without use for them may need their memory."""
+    _loaded.clear()

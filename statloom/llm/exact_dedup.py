@@ -197,7 +197,7 @@ def exact_dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     decided = slim.join(found, "digest").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
     if keep_text:
         once = decided.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), "keep_id", "group_size", "kept").dropDuplicates(["__id", "__key"])
-        decided = keyed.join(once, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))).drop("__id", "__key").withColumnRenamed("__digest", "digest")
+        decided = keyed.join(once.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))).drop("__id", "__key").withColumnRenamed("__digest", "digest")
     # of rows that repeat both the doc_id and the text, one stays
     turn = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("group_size"))
     out = decided.withColumn("kept", F.col("kept") & (turn == 1)).withColumn("text_sha256", F.lower(F.hex(F.substring("digest", 1, 32))))

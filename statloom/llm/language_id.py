@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statloom.llm import common
+
 #: Bytes of text that one language's dictionary holds, and rows per language that may give them.
 DICTIONARY_BYTES, SAMPLE_ROWS = 112_640, 2_000
 #: Most text from one sampled row, so that a few long ones don't fill a dictionary.
@@ -88,6 +90,7 @@ def language_id(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: flo
     models = docs.sparkSession.sparkContext.broadcast(dictionaries)  # DICTIONARY_BYTES for each language at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         known = Classifier(models.value)
         for batch in batches:
             lang, score, margin = zip(*map(known.predict, batch.column("text").to_pylist()), strict=True) if batch.num_rows else ((), (), ())

@@ -113,6 +113,7 @@ def members(docs: DataFrame, n: int) -> DataFrame:
     """row, doc_id, size, set_id (null: no shingles) and sketch of every row of (row, doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for batch in batches:
             size, name, bits = [], [], []
             for _, _, s, i in _each([batch], n):
@@ -128,6 +129,7 @@ def shared_keys(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(key, set_id) of the keys that at least two different sets have."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         join, seen = Join(percent), set()
         for batch in batches:
             keys, names = [], []
