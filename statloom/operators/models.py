@@ -50,22 +50,26 @@ def glm(pairs: DataFrame, *by: str, kind: str = "linear") -> DataFrame:
     return pairs.select(*by, "g", "y").groupBy(*by).applyInPandas(fit, ", ".join(f"{k} {types[k]}" for k in by) + ", n long, beta double, se double, stat double, p double, low double, high double")
 
 
-def mixed_scan(dosages: DataFrame, y: np.ndarray, ids: list, relationship: np.ndarray) -> DataFrame:
+def mixed_scan(dosages: DataFrame, y: np.ndarray, ids: list, lam: np.ndarray, vec: np.ndarray) -> DataFrame:
     """variant, beta, se, t of each variant under a mixed model whose variance share is fitted once without variants.
 
-    The decorrelating transform of the samples, as large as the cohort squared, is broadcast; variants are independent.
+    lam and vec are those of kinship.spectrum(): the decorrelating transform is applied from them and never formed; they are
+    broadcast and variants are independent.
     """
-    lam, vec = np.linalg.eigh(relationship)
-    null = fit_polygenic(np.maximum(lam, 0), vec, y, np.ones((len(y), 1)))
-    s = np.maximum(np.maximum(lam, 0) * null["h2"] + 1 - null["h2"], 1e-8)
-    rotate = vec.T / np.sqrt(s)[:, None]
-    known = dosages.sparkSession.sparkContext.broadcast((list(ids), rotate, rotate @ y, rotate @ np.ones(len(y))))
+    null = fit_polygenic(lam, vec, y, np.ones((len(y), 1)))
+    s, so = (np.sqrt(np.maximum(v * null["h2"] + 1 - null["h2"], 1e-8)) for v in (lam, 0.0))
+
+    def whiten(v: np.ndarray, vec_: np.ndarray) -> np.ndarray:
+        r = vec_.T @ v
+        return vec_ @ (r / s) + (v - vec_ @ r) / so
+
+    known = dosages.sparkSession.sparkContext.broadcast((list(ids), vec, whiten(y, vec), whiten(np.ones(len(y)), vec)))
     kind = dict(dosages.dtypes)["variant"]
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        order, r, yr, one = known.value
+        order, vec_, yr, one = known.value
         g = part.set_index("iid")["g"].reindex(order)
-        x = np.column_stack([one, r @ g.fillna(g.mean()).to_numpy(float)])
+        x = np.column_stack([one, whiten(g.fillna(g.mean()).to_numpy(float), vec_)])
         h = np.linalg.pinv(x.T @ x)
         b = h @ (x.T @ yr)
         e = yr - x @ b
@@ -75,17 +79,17 @@ def mixed_scan(dosages: DataFrame, y: np.ndarray, ids: list, relationship: np.nd
     return dosages.groupBy("variant").applyInPandas(fit, f"variant {kind}, beta double, se double, t double")
 
 
-def heritability(values: DataFrame, ids: list, relationship: np.ndarray) -> DataFrame:
-    """feat, h2, loglik, null_loglik, lrt of each feature (feat, iid, x): maximum likelihood with and without the share."""
-    lam, vec = np.linalg.eigh(relationship)
-    known = values.sparkSession.sparkContext.broadcast((list(ids), np.maximum(lam, 0), vec))
+def heritability(values: DataFrame, ids: list, lam: np.ndarray, vec: np.ndarray) -> DataFrame:
+    """feat, h2, loglik, null_loglik, lrt of each feature (feat, iid, x): maximum likelihood with and without the share, from
+    kinship.spectrum()."""
+    known = values.sparkSession.sparkContext.broadcast((list(ids), lam, vec))
     kind = dict(values.dtypes)["feat"]
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         order, lam_, vec_ = known.value
         x = part.set_index("iid")["x"].reindex(order)
         y, one = x.fillna(x.mean()).to_numpy(float), np.ones((len(order), 1))
-        full, none = fit_polygenic(lam_, vec_, y, one), fit_polygenic(np.ones(len(order)), vec_, y, one)
+        full, none = fit_polygenic(lam_, vec_, y, one), fit_polygenic(np.ones(len(lam_)), vec_, y, one, 1.0)
         return pd.DataFrame([{"feat": part["feat"].iloc[0], "h2": full["h2"], "loglik": full["loglik"], "null_loglik": none["loglik"], "lrt": max(0.0, 2 * (full["loglik"] - none["loglik"]))}])
 
     return values.groupBy("feat").applyInPandas(fit, f"feat {kind}, h2 double, loglik double, null_loglik double, lrt double")

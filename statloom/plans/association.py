@@ -223,7 +223,7 @@ def relatedness_prune(spark, d):
     from statloom.plans.session import shared
 
     shared(spark)
-    edges = matrix.relationship(standins.dosages(Tables(spark, d)).where("iid < 60"), 0.0)
+    edges = matrix.relationship(standins.dosages(Tables(spark, d)), 0.0, 0.35).checkpoint()
     return kinship.prune_related(edges, 0.35)
 
 
@@ -253,13 +253,9 @@ def encode_invariant(spark, d):
 @query()
 def polygenic_residuals(spark, d):
     t = Tables(spark, d)
-    edges = matrix.relationship(standins.dosages(t).where("iid < 60"), 0.0).collect()
-    ids = sorted({r["i"] for r in edges})
-    at, k = {x: i for i, x in enumerate(ids)}, np.zeros((len(ids),) * 2)
-    for r in edges:
-        k[at[r["i"]], at[r["j"]]] = k[at[r["j"]], at[r["i"]]] = r["grm"]
-    y = standins.long(t).where("iid < 60 and feat between 32 and 35").select("feat", "iid", "x")
-    return kinship.polygenic_residuals(y, ids, k).select("feat", "iid", F.round("resid", 5).alias("resid"), F.round("h2", 4).alias("h2"))
+    y = standins.long(t).where("feat between 32 and 35").select("feat", "iid", "x")
+    ids, lam, vec = kinship.spectrum(matrix.standardised(standins.dosages(t), 0.0))
+    return kinship.polygenic_residuals(y, ids, lam, vec).select("feat", "iid", F.round("resid", 5).alias("resid"), F.round("h2", 4).alias("h2"))
 
 
 @query()
@@ -269,7 +265,7 @@ def cell_deconvolution(spark, d):
     t = Tables(spark, d)
     rows = standins.long(t).where("label < 3").groupBy("label", "feat").agg(F.avg("x").alias("m")).collect()
     ref = pd.DataFrame([(r["feat"], f"c{r['label']}", r["m"]) for r in rows], columns=["feat", "cell", "m"]).pivot(index="feat", columns="cell", values="m")
-    return kinship.deconvolve(standins.long(t).where("iid < 50"), ref).select("iid", "cell", F.round("share", 5).alias("share"))
+    return kinship.deconvolve(standins.long(t), ref).select("iid", "cell", F.round("share", 5).alias("share"))
 
 
 @query(f"SELECT feat, round((avg(x) FILTER (label % 2 = 0) - avg(x) FILTER (label % 2 = 1)) / sqrt(var_samp(x) FILTER (label % 2 = 0) / count(*) FILTER (label % 2 = 0) + var_samp(x) FILTER (label % 2 = 1) / count(*) FILTER (label % 2 = 1)), 5) AS t FROM {LONG} GROUP BY feat")

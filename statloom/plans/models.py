@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from statloom.operators import matrix, models
+from statloom.operators import kinship, matrix, models
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 from statloom.streaming import partials
@@ -13,13 +13,8 @@ from statloom.streaming import partials
 PAIRS, LONG = standins.PAIRS_SQL, standins.LONG_SQL
 
 
-def _relationship(t: Tables, samples: int):
-    edges = matrix.relationship(standins.dosages(t).where(F.col("iid") < samples), 0.0).collect()
-    ids = sorted({r["i"] for r in edges})
-    at, k = {x: i for i, x in enumerate(ids)}, np.zeros((len(ids),) * 2)
-    for r in edges:
-        k[at[r["i"]], at[r["j"]]] = k[at[r["j"]], at[r["i"]]] = r["grm"]
-    return ids, k
+def _spectrum(t: Tables):
+    return kinship.spectrum(matrix.standardised(standins.dosages(t), 0.0))
 
 
 @query(f"SELECT variant, phenotype, regr_count(y, g) AS n, round(regr_slope(y, g), 6) AS beta FROM {PAIRS} GROUP BY ALL")
@@ -37,18 +32,18 @@ def glm_logistic(spark, d):
 @query()
 def mixed_model_scan(spark, d):
     t = Tables(spark, d)
-    ids, k = _relationship(t, 80)
-    y = {r["iid"]: r["y"] for r in standins.phenotypes(t).where("feat = 40 and iid < 80").collect()}
-    g = standins.dosages(t).where("iid < 80").select(F.col("feat").alias("variant"), "iid", "g")
-    return models.mixed_scan(g, np.array([y[i] for i in ids]), ids, k).select("variant", F.round("beta", 5).alias("beta"), F.round("t", 4).alias("t"))
+    ids, lam, vec = _spectrum(t)
+    y = {r["iid"]: r["y"] for r in standins.phenotypes(t).where("feat = 40").collect()}
+    g = standins.dosages(t).select(F.col("feat").alias("variant"), "iid", "g")
+    return models.mixed_scan(g, np.array([y[i] for i in ids]), ids, lam, vec).select("variant", F.round("beta", 5).alias("beta"), F.round("t", 4).alias("t"))
 
 
 @query()
 def heritability(spark, d):
     t = Tables(spark, d)
-    ids, k = _relationship(t, 80)
-    y = standins.long(t).where("iid < 80 and feat between 40 and 45").select("feat", "iid", "x")
-    return models.heritability(y, ids, k).select("feat", F.round("h2", 4).alias("h2"), F.round("lrt", 4).alias("lrt"))
+    ids, lam, vec = _spectrum(t)
+    y = standins.long(t).where("feat between 40 and 45").select("feat", "iid", "x")
+    return models.heritability(y, ids, lam, vec).select("feat", F.round("h2", 4).alias("h2"), F.round("lrt", 4).alias("lrt"))
 
 
 @query()
