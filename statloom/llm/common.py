@@ -181,8 +181,9 @@ _ENDINGS = "'(?:s|t|re|ve|m|ll|d)"
 #: The vocabularies' own splitting patterns over those characters.
 _KEEPS_SPACE = re.compile(rf"{_ENDINGS}| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 _DROPS_SPACE = re.compile(rf"{_ENDINGS}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
-#: A text with any other character, or with one that is special in lower case or as white space, goes to the library whole.
-_OTHER = re.compile("[^\x00-\u024f\u2010-\u2027]|[\x1c-\x1f\x85\xa0\u0130]")
+#: A text with any other character, or with one that is special in lower case or as white space, goes to the library whole; so
+#: does one with an added token's content.
+_OTHER = re.compile("[^\x00-\u024f\u2010-\u2027]|[\x1c-\x1f\x85\xa0\u0130\u023a\u023e]")
 _loaded: dict[str, PieceTokenizer] = {}
 
 
@@ -197,7 +198,8 @@ class PieceTokenizer(dict):
     """ids of whole texts, packed as little-endian uint32.
 
     BPE merges never cross the pieces into which the vocabulary's pattern splits a text. The dictionary keeps the ids of
-    pieces; the tokenizers library's model encodes those it lacks. `most` bounds it: it starts anew beyond that.
+    pieces; the tokenizers library's model encodes those it lacks. `most` bounds it: it starts anew beyond that. The ids are
+    those of Tokenizer.from_file(path).encode(text, add_special_tokens=False).
     """
 
     def __init__(self, path: str, most: int = 400_000) -> None:
@@ -206,9 +208,10 @@ class PieceTokenizer(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.letters, self.most = self.tokenizer.model, _byte_letters(), most
         self.drops_space = self.tokenizer.normalizer is not None
+        # the library finds added tokens before it splits a text
+        self.added = [t.content.lower() if self.drops_space else t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = (_DROPS_SPACE if self.drops_space else _KEEPS_SPACE).findall
 
     def whole(self, text: str) -> bytes:
@@ -222,11 +225,12 @@ class PieceTokenizer(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _OTHER.search(text) is not None:
+        shown = text.lower() if self.drops_space else text
+        if _OTHER.search(text) is not None or any(t in shown for t in self.added):
             return self.whole(text)
         if len(self) > self.most:
             self.clear()
-        return b"".join(map(self.__getitem__, self.cut(text.lower() if self.drops_space else text)))
+        return b"".join(map(self.__getitem__, self.cut(shown)))
 
 
 def tokenizer(path: str) -> PieceTokenizer:
