@@ -51,7 +51,10 @@ def interaction(dosages: DataFrame, phenotypes: DataFrame, moderator: DataFrame,
                 a, b = np.array(s["a"].tolist()).reshape(-1, 4, 4), np.array(s["b"].tolist())
                 inverse = np.linalg.pinv(a, hermitian=True)
                 w = np.einsum("rij,rj->ri", inverse, b)
-                v = np.maximum(s["yy"].to_numpy() - (w * b).sum(1), 0) / (s["n"].to_numpy() - 4)
+                yy = s["yy"].to_numpy()
+                rest = yy - (w * b).sum(1)
+                # an exact fit, such as of the moderator itself, leaves rounding only
+                v = np.where(rest > 1e-12 * yy, rest, 0.0) / (s["n"].to_numpy() - 4)
                 se = np.sqrt(v * inverse[:, 3, 3])
                 yield pd.DataFrame({"variant": s["variant"], "phenotype": s["phenotype"], "n": s["n"], "beta": w[:, 3], "t": np.divide(w[:, 3], se, out=np.zeros_like(se), where=se > 0)})
 

@@ -129,7 +129,7 @@ def lambda_regression(spark, d):
 
 @query()
 def pair_p_values(spark, d):
-    r = assoc.pair_regression(standins.pairs(Tables(spark, d)), "variant", "phenotype")
+    r = assoc.pair_regression(standins.pairs(Tables(spark, d), 32, 64), "variant", "phenotype")
     return r.select("variant", "phenotype", F.round(p_from_t("t", (F.col("n") - 2).cast("double")), 8).alias("p"))
 
 
@@ -145,7 +145,7 @@ def residualise_linear(spark, d):
 @query()
 def residualise_transformed(spark, d):
     t = Tables(spark, d)
-    first = ranks.inverse_normal(standins.long(t).where("feat < 4"), "x", "feat").select("feat", "iid", F.col("int").alias("x"))
+    first = ranks.inverse_normal(standins.long(t), "x", "feat").select("feat", "iid", F.col("int").alias("x"))
     r = assoc.residuals(first, standins.covariates(t), 1)
     return ranks.inverse_normal(r, "resid", "feat").select("iid", "feat", F.round("int", 6).alias("v"))
 
@@ -186,7 +186,7 @@ def vqtl_bf(spark, d):
 def vqtl_bf_p(spark, d):
     from statloom.operators.variance import brown_forsythe
 
-    r = brown_forsythe(standins.pairs(Tables(spark, d)))
+    r = brown_forsythe(standins.pairs(Tables(spark, d), 32, 64))
     return r.select("variant", "phenotype", F.round(p_from_f("f", F.col("d1").cast("double"), F.col("d2").cast("double")), 8).alias("p"))
 
 
@@ -196,7 +196,7 @@ def interaction_scan(spark, d):
     from statloom.operators.variance import interaction
 
     t = Tables(spark, d)
-    g, y, c = _study(t, 4, 36)
+    g, y, c = _study(t, 32, 64)
     return interaction(g, y, c.select("iid", F.col("c")[0].alias("i"))).select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))
 
 

@@ -25,7 +25,7 @@ def glm_linear(spark, d):
 
 @query()
 def glm_logistic(spark, d):
-    p = standins.pairs(Tables(spark, d)).withColumn("y", F.when(F.col("y") > 0, 2.0).otherwise(1.0))
+    p = standins.pairs(Tables(spark, d), 32, 64).withColumn("y", F.when(F.col("y") > 0, 2.0).otherwise(1.0))
     return models.glm(p, "variant", "phenotype", kind="logistic").select("variant", "phenotype", F.round("beta", 5).alias("beta"), F.round("p", 6).alias("p"))
 
 
