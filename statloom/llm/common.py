@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,27 +18,52 @@ U64 = np.uint64
 WORD = r"[^\x20\x09-\x0D]+"
 _ODD = U64(0x9E3779B97F4A7C15)
 _written: list[tuple[SparkSession, str]] = []
+_paths: dict[int, tuple[DataFrame, str]] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only in local mode, where it is unset.
+
+    On a cluster a folder of the driver's own machine would be incomplete for all others, so an unset name is an error there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="statloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts the lineage and survives lost executors."""
+#: Whether Spark removes the shuffle files of a query as soon as it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def save(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    The shuffle files of the write go when it has ended. `done` are saved tables that nothing needs any more after it.
+    """
     spark = df.sparkSession
     path = saved_path(spark, name)
-    df.write.parquet(path)
-    # the shuffle files of plans that nothing refers to any more go now, not when the driver next happens to collect garbage
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.parquet(path)
+    _paths[id(out)] = (out, path)
+    for old in done:
+        drop(old)
+    return out
+
+
+def drop(saved: DataFrame) -> None:
+    """Remove a table that save() has written."""
+    _, path = _paths.pop(id(saved))
+    _written.remove((saved.sparkSession, path))
+    _remove(saved.sparkSession, path)
 
 
 def saved_path(spark: SparkSession, name: str) -> str:
@@ -48,14 +73,17 @@ def saved_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_saved() -> None:
     """Remove the tables that save() has written; called when the driver ends."""
+    _paths.clear()
     while _written:
-        spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _remove(*_written.pop())
         except Exception:  # noqa: BLE001  the session may be gone already
             return
 
@@ -90,6 +118,72 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+# ---------------------------------------------------------------- rows, filters and joins
+
+#: Most words of a filter that is broadcast, and bits that a key sets in one of them.
+FILTER_WORDS, FILTER_BITS = 1 << 20, 3
+#: Rows of a group above which it is dealt over several tasks, and most such groups that are broadcast.
+HOT_ROWS, HOT_GROUPS = 1_000, 100_000
+
+
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a long that tells its rows apart by doc_id and text; rows that repeat both have the same one.
+
+    A second hash finds out whether two different rows have the same key; another seed is tried until none have.
+    """
+    for seed in range(8):
+        key, check = (F.xxhash64(F.lit(2 * seed + i), F.col("doc_id").cast("string"), F.col("doc_id").isNull(), "text", F.col("text").isNull()) for i in (0, 1))
+        if unambiguous(docs.select(key.alias("k"), check.alias("c"))):
+            return docs.withColumn(name, key)
+    raise RuntimeError("no seed tells the rows apart")
+
+
+def unambiguous(pairs: DataFrame) -> bool:
+    """Whether no two rows (k, c) have the same k and different c."""
+    return pairs.groupBy("k").agg((F.min("c") != F.max("c")).alias("x")).where("x").isEmpty()
+
+
+def with_hits(rows: DataFrame, key: str, known: DataFrame, name: str = "__hit") -> DataFrame:
+    """rows with a boolean that is true where the long `key` is in the one column of `known`, and for few other keys.
+
+    A blocked Bloom filter of FILTER_WORDS words at most, joined by broadcast: its size doesn't grow with the data. With more
+    keys than it can tell apart it lets more rows through, so what follows must be exact by itself.
+    """
+    words = min(FILTER_WORDS, 1 << max(4, known.count().bit_length()))
+
+    def place(k: Column) -> Column:
+        return F.pmod(F.xxhash64(k), F.lit(words)).cast("int")
+
+    def bits(k: Column) -> Column:
+        h = F.xxhash64(F.lit(1), k)
+        one = F.lit(1).cast("long")
+        out = F.lit(0).cast("long")
+        for i in range(FILTER_BITS):
+            out = out.bitwiseOR(F.call_function("shiftleft", one, F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")))
+        return out
+
+    k = F.col(known.columns[0])
+    table = known.groupBy(place(k).alias("__word")).agg(F.bit_or(bits(k)).alias("__bits"))
+    out = rows.withColumn("__word", place(F.col(key))).join(F.broadcast(table), "__word", "left").drop("__word")
+    return out.withColumn(name, F.coalesce(F.col("__bits").bitwiseAND(bits(F.col(key))) == bits(F.col(key)), F.lit(False))).drop("__bits")
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, salt: Column) -> DataFrame:
+    """rows joined (inner) with their group by `key`; a group of more than HOT_ROWS rows is dealt over tasks by `salt`.
+
+    groups has one row a key, with the number of its rows in `count`. The list of hot groups is broadcast: their number is
+    bounded by the rows over the threshold, which rises tenfold until HOT_GROUPS at most are left.
+    """
+    most = HOT_ROWS
+    while (hot := groups.where(F.col(count) > most).select(key, F.ceil(F.col(count) / F.lit(most)).cast("int").alias("__parts"))).count() > HOT_GROUPS:
+        most *= 10
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__part", F.pmod(salt, F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    parts = F.when(F.col(count) > most, F.ceil(F.col(count) / F.lit(most)).cast("int")).otherwise(1)
+    spread = groups.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    # shuffled at every size, lest a small table alone be broadcast and the plan change as it grows
+    return dealt.join(spread.hint("merge"), [key, "__part"]).drop("__part")
+
+
 # ---------------------------------------------------------------- hashing of words, in numpy
 
 
