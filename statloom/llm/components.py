@@ -71,4 +71,4 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         lowest = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(lowest, "a").select("b", "m").where("b != m").union(lowest.select("a", "m")).distinct()
-        now = common.save(small.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")), "edges")
+        now = common.save(small.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")), "edges", [now])
