@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import common
 
-#: Rows in a block on average, and most blocks of a source: the plan's size depends on the number of sources alone.
-BLOCK_ROWS, MOST_BLOCKS = 64, 2_048
-#: Output shards, and the longest plan of draws that is broadcast; a longer one is shuffled.
-SHARDS, BROADCAST_DRAWS = 16, 200_000
+#: Rows in a block on average, most blocks of a source, and of all: they bound the plan, whatever the number of rows.
+BLOCK_ROWS, MOST_BLOCKS, PLAN_BLOCKS = 64, 2_048, 1 << 18
+#: Most sources: each has a weight of its own and at least one block in the plan.
+MOST_SOURCES = 100_000
+#: Output shards.
+SHARDS = 16
+_WHOLE = (1 << 63) - 1
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float = 3.0) -> list[float]:
@@ -49,67 +53,105 @@ class Source:
     rows: int
     size: int
     target: float
-
-    @property
-    def blocks(self) -> int:
-        return max(1, min(MOST_BLOCKS, -(-self.rows // BLOCK_ROWS)))
+    blocks: int
 
 
 def sources(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> list[Source]:
-    """Each source's rows, words and target; sources by code point, null last, weigh `weights` in turn.
+    """Each source's rows, words, target and number of blocks; sources by code point, null last, weigh `weights` in turn.
 
-    The driver holds a row for each source: the number of sources, not of documents, bounds it.
+    The driver holds a row for each source, MOST_SOURCES at most; a table with more is refused.
     """
-    found = sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("s")).collect()
+    found = sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("s")).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     sizes = [int(r["s"] or 0) for r in found]
     aims = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], share * sum(sizes), most)
-    return [Source(r["source"], r["n"], s, t) for r, s, t in zip(found, sizes, aims, strict=True)]
-
-
-def _block(found: list[Source], seed: int) -> Column:
-    """Block of a row within its source: by a hash of its id, so reruns agree."""
-    count = F.element_at(F.array(*[F.lit(s.blocks) for s in found]), F.col("__source") + 1)
-    return F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), count).cast("int")
+    upto = max(1, min(MOST_BLOCKS, PLAN_BLOCKS // max(1, len(found))))
+    return [Source(r["source"], r["n"], s, t, max(1, min(upto, -(-r["n"] // BLOCK_ROWS)))) for r, s, t in zip(found, sizes, aims, strict=True)]
+
+
+def picks(source: Source, words: dict[int, int], rng: np.random.Generator) -> list[tuple[int, int, float | None]]:
+    """Blocks that a source's target takes, as (block, pass, words if only a part): whole passes take every block, the last
+    one blocks of a permutation until the target is met. The list is permuted in the end."""
+    out: list[tuple[int, int, float | None]] = []
+    left, epoch = source.target, 0
+    while source.size and left >= source.size - 0.5:
+        out += [(b, epoch, None) for b in sorted(words)]
+        left, epoch = left - source.size, epoch + 1
+    for b in rng.permutation(sorted(words)).tolist() if left >= 0.5 else ():
+        if words[b] > left:
+            out.append((b, epoch, left))
+            break
+        out.append((b, epoch, None))
+        left -= words[b]
+    return [out[i] for i in rng.permutation(len(out))]
+
+
+def placed(sized: DataFrame, found: list[Source], seed: int) -> DataFrame:
+    """Rows with __source, __block, __order, source_size and target; all but target depend on doc_id and text alone."""
+    spark = sized.sparkSession
+    index = spark.createDataFrame([(s.name, i, s.blocks, s.size, s.target) for i, s in enumerate(found)], "__name string, __source int, __blocks int, source_size long, target double")
+    rows = sized.join(F.broadcast(index), F.col("source").eqNullSafe(F.col("__name")), "left").drop("__name")  # MOST_SOURCES rows
+    block = F.pmod(F.xxhash64("doc_id", "__text", F.lit(seed)), F.col("__blocks")).cast("int")
+    return rows.withColumn("__block", block).withColumn("__order", F.xxhash64("doc_id", "__text", F.lit(seed + 1))).drop("__blocks")
 
 
-def draws(sized: DataFrame, found: list[Source], shards: int, seed: int) -> tuple[DataFrame, DataFrame, int]:
-    """(rows with __source, __block and __order; plan of draws: __source, __block, __epoch, __shard, __most; number of draws).
+def plan(slim: DataFrame, found: list[Source], shards: int, seed: int) -> DataFrame:
+    """__source, __block, __draws: the draws of each block, (epoch, shard, upto): rows of it up to that __order are drawn.
 
-    A source's blocks are permuted. Whole passes take every block; the last pass takes blocks in that order until the target
-    is met, the last of them only in part: __most is the words it may still take, null for a whole block.
+    The tree splits the number of blocks that each source gives over shards; each shard draws its quota from what is left of
+    the source's permuted blocks. The plan has PLAN_BLOCKS rows at most, if there are fewer sources.
     """
-    spark = sized.sparkSession
-    index = spark.createDataFrame([(s.name, i) for i, s in enumerate(found)], "__name string, __source int")
-    rows = sized.join(F.broadcast(index), F.col("source").eqNullSafe(F.col("__name")), "left").drop("__name")
-    rows = rows.withColumn("__block", _block(found, seed)).withColumn("__order", F.xxhash64("doc_id", F.lit(seed + 1)))
-    held: list[dict[int, int]] = [{} for _ in found]
-    for r in rows.groupBy("__source", "__block").agg(F.sum("size").alias("s")).collect():  # MOST_BLOCKS a source at most
-        held[r["__source"]][r["__block"]] = int(r["s"])
+    spark = slim.sparkSession
+    rows = placed(slim, found, seed)
+    words: list[dict[int, int]] = [{} for _ in found]
+    for r in rows.groupBy("__source", "__block").agg(F.sum("size").alias("s")).collect():  # PLAN_BLOCKS at most
+        words[r["__source"]][r["__block"]] = int(r["s"])
     rng = np.random.default_rng(seed)
-    taken: list[list[tuple[int, int, float | None]]] = []
-    for s, words in zip(found, held, strict=True):
-        picks: list[tuple[int, int, float | None]] = []
-        left, epoch = s.target, 0
-        while s.size and left >= s.size - 0.5:
-            picks += [(int(b), epoch, None) for b in rng.permutation(sorted(words))]
-            left, epoch = left - s.size, epoch + 1
-        for b in rng.permutation(sorted(words)) if left >= 0.5 else ():
-            if words[b] <= left:
-                picks.append((int(b), epoch, None))
-                left -= words[b]
-            else:
-                picks.append((int(b), epoch, left))
-                break
-        taken.append(picks)
+    taken = [picks(s, w, rng) for s, w in zip(found, words, strict=True)]
+    parts = [(i, b, float(m)) for i, x in enumerate(taken) for b, _, m in x if m is not None]
+    upto = _cuts(rows, spark.createDataFrame(parts, "__source int, __block int, __most double")) if parts else {}
     quotas = split_quotas(np.array([len(p) for p in taken], np.int64), shards, rng) if found else np.zeros((shards, 0), np.int64)
-    plan = []
-    for i, picks in enumerate(taken):
-        at = 0
+    draws: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for i, blocks in enumerate(taken):
+        left = iter(blocks)
         for shard, n in enumerate(quotas[:, i].tolist()):
-            plan += [(i, b, e, shard, m) for b, e, m in picks[at : at + n]]
-            at += n
-    return rows, spark.createDataFrame(plan, "__source int, __block int, __epoch int, __shard int, __most double"), len(plan)
+            for b, epoch, part in islice(left, n):
+                draws.setdefault((i, b), []).append((epoch, shard, _WHOLE if part is None else upto.get(i, -_WHOLE - 1)))
+    return spark.createDataFrame([(*k, sorted(v)) for k, v in draws.items()], "__source int, __block int, __draws array<struct<epoch: int, shard: int, upto: long>>")
+
+
+def _cuts(rows: DataFrame, parts: DataFrame) -> dict[int, int]:
+    """For the block that a source gives in part: the last __order within the words that it may give, by source.
+
+    A block holds 1 / MOST_BLOCKS of its source's rows; the running sum is over numbers alone. Rows of one __order go together.
+    """
+    place = ["__source", "__block"]
+    sums = rows.select(*place, "__order", "size").join(F.broadcast(parts), place).groupBy(*place, "__order", "__most").agg(F.sum("size").alias("s"))
+    run = F.sum("s").over(Window.partitionBy(*place).orderBy("__order"))
+    return dict(sums.withColumn("run", run).where("run - s / 2 <= __most").groupBy("__source").agg(F.max("__order")).collect())
+
+
+def drawn(docs: DataFrame, shards: int, seed: int, **aims: object) -> tuple[DataFrame, DataFrame]:
+    """(docs, slim), both with size, source_size, target, __order and __draws; slim is a saved table without other columns.
+
+    The plan, bounded whatever the number of rows, is broadcast, so no text is shuffled.
+    """
+    sized = docs.withColumns({"size": common.word_count(F.col("text")), "__text": F.xxhash64("text")})
+    slim = common.save(sized.select("doc_id", "source", "size", "__text"), "sizes")
+    found = sources(slim, **aims)
+    known = F.broadcast(plan(slim, found, shards, seed))
+
+    def with_draws(rows: DataFrame) -> DataFrame:
+        out = placed(rows, found, seed).join(known, ["__source", "__block"], "left")
+        return out.withColumn("__draws", F.expr("filter(coalesce(__draws, array()), d -> __order <= d.upto)"))
+
+    return with_draws(sized), with_draws(slim)
+
+
+_NEW = ("size", "source_size", "target", "mix_shard", "mix_epoch", "mix_order")
+_OWN = ("__text", "__source", "__block", "__order", "__draws")
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> DataFrame:
@@ -118,35 +160,21 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[fl
     size is the number of words of a row's whole text (null text: 0). Each source's words in the mix come within about one
     document of its target. mix_order shuffles within a shard. A document is drawn at most `most` times, once a pass. Rows
     without words are never drawn from a source that has none; null sources are one source, the last. Columns of these
-    names in docs are replaced. An empty table gives an empty table. Repeated rows are drawn alike.
+    names in docs are replaced. An empty table gives an empty table. Rows that repeat doc_id and text are drawn alike.
     """
-    new = ("size", "source_size", "target", "mix_shard", "mix_epoch", "mix_order")
-    docs = docs.drop(*new)
-    sized = docs.withColumn("size", common.word_count(F.col("text")))
-    found = sources(common.save(sized.select("doc_id", "source", "size"), "sizes"), weights, share, most)
-    return _drawn(sized, found, shards, seed).where("__shard is not null").withColumnsRenamed({"__shard": "mix_shard", "__epoch": "mix_epoch"}).withColumn("mix_order", F.xxhash64("doc_id", "mix_epoch", F.lit(seed + 2))).drop("__source", "__block", "__order")
-
-
-def _drawn(sized: DataFrame, found: list[Source], shards: int, seed: int) -> DataFrame:
-    """Rows joined with their draws; a row that isn't drawn has a null __shard."""
-    rows, plan, draws_ = draws(sized, found, shards, seed)
-    aims = sized.sparkSession.createDataFrame([(i, s.size, s.target) for i, s in enumerate(found)], "__source int, source_size long, target double")
-    rows = rows.join(F.broadcast(aims), "__source", "left")  # a row a source
-    place = ["__source", "__block"]
-    whole = plan.where("__most is null").select(*place, "__epoch", "__shard")
-    first = rows.join(F.broadcast(whole) if draws_ <= BROADCAST_DRAWS else whole, place, "left")
-    # the block that a last pass takes in part, one a source: a running sum over that block's rows decides
-    part = F.broadcast(plan.where("__most is not null"))
-    run = Window.partitionBy(*place).orderBy("__order", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slim = rows.select(*place, "__order", "doc_id", "size").join(part, place).withColumn("__run", F.sum("size").over(run)).where("__run <= __most + size / 2")
-    fits = slim.select(F.col("doc_id").alias("__id"), F.col("__order").alias("__o"), F.col("__source").alias("__s")).distinct()
-    second = rows.join(part, place).drop("__most").join(fits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__order") == F.col("__o")) & (F.col("__source") == F.col("__s"))).drop("__id", "__o", "__s")
-    return first.unionByName(second)
+    rows, _ = drawn(docs.drop(*_NEW), shards, seed, weights=weights, share=share, most=most)
+    rows = rows.withColumn("__draw", F.explode("__draws")).withColumns({"mix_shard": F.col("__draw.shard"), "mix_epoch": F.col("__draw.epoch")})
+    return rows.withColumn("mix_order", F.xxhash64("doc_id", "__text", "mix_epoch", F.lit(seed + 2))).drop("__draw", *_OWN)
+
+
+def shuffled(mixed: DataFrame, partitions: int) -> DataFrame:
+    """A mix in the order of its shards and, within each, of mix_order."""
+    return mixed.repartitionByRange(partitions, "mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")
 
 
 def taken(docs: DataFrame, shards: int = SHARDS, seed: int = 17, **aims: object) -> DataFrame:
-    """For each document (one row a doc_id): size, source_size, target, taken: the words of it that the mix takes."""
-    sized = common.save(docs.select("doc_id", "source", common.word_count(F.col("text")).alias("size")), "sizes")
-    found = sources(sized, **aims)
-    out = _drawn(sized, found, shards, seed)
-    return out.groupBy("doc_id", "size", "source_size", "target").agg(F.sum(F.when(F.col("__shard").isNotNull(), F.col("size")).otherwise(0)).cast("long").alias("taken"))
+    """A row for each row of docs: doc_id, size, source_size, target, mix_shards (the shards that draw it) and taken: the
+    words of it in the mix. See mix(); rows that repeat have a row each."""
+    _, slim = drawn(docs.select("doc_id", "source", "text"), shards, seed, **aims)
+    shards_ = F.expr("array_sort(transform(__draws, d -> d.shard))")
+    return slim.select("doc_id", "size", "source_size", "target", shards_.alias("mix_shards"), (F.col("size") * F.size("__draws")).alias("taken"))

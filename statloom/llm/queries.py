@@ -45,7 +45,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken(common.documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken(common.documents(spark, sf_dir))
 
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,15 +186,35 @@ def test_repeated_rows_keep_one(spark):
 
 def test_cuckoo_index_inserts_deletes_grows():
     rng, index, live = random.Random(5), exact_dedup.DigestIndex(16), {}
+    first = index.bits
     for i in range(20_000):
         d = hashlib.sha256(str(rng.randrange(3_000)).encode()).digest()
         if rng.random() < 0.3:
             assert index.delete(d) == (live.pop(d, None) is not None)
         else:
             index.add(d, i)
-            live[d] = [i, live.get(d, [0, 0])[1] + 1]
-    assert all(index.find(d) == v for d, v in live.items()) and index.stored.keys() == live.keys()
-    assert index.capacity > 16
+            live[d] = [d, i, live.get(d, [d, 0, 0])[2] + 1, 1]
+    assert all(index.find(d) == v for d, v in live.items()) and index.live == len(live)
+    assert sorted(index) == sorted(live.values()) and index.bits > first
+
+
+def test_filter_hit_is_verified_against_the_bucket():
+    index = exact_dedup.DigestIndex(16)
+    a, b = b"\1" * 8 + b"a" * 32, b"\1" * 8 + b"b" * 32  # the same tag and buckets
+    index.add(a, 1)
+    assert index.find(b) is None and not index.delete(b)
+    index.add(b, 2)
+    assert index.find(a)[1] == 1 and index.find(b)[1] == 2 and index.delete(a) and index.find(b)[1] == 2
+
+
+def test_hot_groups_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = [(i, "hot" if i % 3 else f"t{i}") for i in range(300)] + [(299, "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for keep in (True, False):
+        got = exact_dedup.exact_dedup(df, keep).collect()
+        assert len(got) == 301 and sum(r.kept for r in got) == 101
+        assert {(r.keep_id, r.group_size) for r in got if r.doc_id % 3} == {(299, 201)}
 
 
 # ---------------------------------------------------------------- 5 n-gram join
@@ -260,6 +280,46 @@ def test_linked_sets_share_a_key_and_sketches_bound():
             assert apart <= len(a) + len(b) - 2 * both
             if len(b) and join.linked(both, len(a), len(b)) and not (both == n == len(b)):
                 assert len(np.intersect1d(join.keys(a), join.keys(b)))
+            if len(a) and len(b):
+                x, y = ngram_join.sketch(a), ngram_join.sketch(b)
+                words = min(len(x), len(y))
+                assert (ngram_join.fold(x[None], words)[0] == ngram_join.sketch(a, words)).all()
+                assert np.bitwise_count(ngram_join.fold(x[None], words) ^ ngram_join.fold(y[None], words)).sum() <= len(a) + len(b) - 2 * both
+
+
+def test_linked_sets_agree_beyond_common_and_empty_parts():
+    rng = np.random.default_rng(4)
+    join = ngram_join.Join(80)
+    for n in [4, 9, 13, 40, 333] * 8:
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = np.concatenate([a[n // 12 :], rng.integers(0, 1 << 63, n // 12).astype(np.uint64)])
+        if join.linked(len(np.intersect1d(a, b)), len(a), len(b)) and len(np.intersect1d(a, b)) < n:
+            same = np.intersect1d(join.keys(a), join.keys(b))
+            assert max(np.bincount((same & np.uint64(63)).astype(int))) > ngram_join.COMMON
+
+
+def test_common_line_in_many_texts(spark, monkeypatch):
+    """A line that all texts share makes keys of large groups; links are still found and no others."""
+    monkeypatch.setattr(ngram_join, "CELL", 8)
+    rng = random.Random(8)
+    line = "all rights reserved by the author of this work and no part may be copied"
+    rows = []
+    for i in range(60):
+        own = " ".join(f"w{rng.randrange(400)}" for _ in range(rng.choice([3, 8, 20])))
+        rows.append((2 * i, f"{line} {own}"))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, f"{line} {own} more"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for n, percent in ((3, 90), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_join(df, n, percent).collect()}
+        assert got == brute_components(rows, n, percent)
+
+
+def test_one_of_each(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text), (None, text + " x"), (5, text + " y z"), (None, "other words that stand alone here"), (7, "short"), (8, None), (None, "short short short short short short")]
+    got = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row")).collect()
+    assert len(got) == 5 and sum(r.text is not None and r.text.startswith("w0") for r in got) == 1 and all(r.row == 1 for r in got)
 
 
 def test_components(spark):
@@ -367,9 +427,44 @@ def test_mixing(which, request):
     for s in target:
         assert abs(taken[s] - target[s]) <= largest[s] + 1
     assert len(got) == df.count()
-    mixed = mixing.mix(df).groupBy("doc_id").agg(F.count("*").alias("n")).collect()
-    drawn = {r.doc_id: r.n for r in mixed}
-    assert all(drawn.get(r.doc_id, 0) * r.size == r.taken for r in got)
+    mixed = mixing.mix(df).collect()
+    drawn, places = Counter(r.doc_id for r in mixed), defaultdict(list)
+    for r in mixed:
+        places[r.doc_id].append(r.mix_shard)
+    for r in got:
+        assert drawn[r.doc_id] * r.size == r.taken and sorted(places[r.doc_id]) == r.mix_shards
+
+
+def test_mixing_keeps_repeated_rows(spark):
+    rows = [(1, "a b c", "s")] * 4 + [(1, "a b d", "s"), (1, None, None), (None, "x y", "t"), (None, "x y", "t")]
+    got = mixing.taken(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == 8 and len({r.taken for r in got if r.size == 3 and r.doc_id == 1}) <= 2
+
+
+def test_shards_draw_their_quotas(docs, monkeypatch):
+    """Every draw is one of a shard: what the tree gives no shard isn't taken, and shards hold what it gives them."""
+    split, seen = mixing.split_quotas, []
+
+    def spy(quotas, shards, rng):
+        out = split(quotas, shards, rng)
+        if shards == 5:
+            seen.append(out)
+        return out
+
+    monkeypatch.setattr(mixing, "split_quotas", spy)
+    plan_ = mixing.plan(docs.selectExpr("doc_id", "source", "cast(n_chars as long) as size", "xxhash64(text) as __text"), [
+        mixing.Source(s, n, n * 9, n * 9.0, 7) for s, n in sorted(docs.groupBy("source").count().collect())], 5, 3).collect()
+    got = Counter((d.shard, r["__source"]) for r in plan_ for d in r["__draws"])
+    assert {(i, j): n for (i, j), n in np.ndenumerate(seen[-1]) if n} == got
+    monkeypatch.setattr(mixing, "split_quotas", lambda quotas, shards, rng: np.zeros((shards, len(quotas)), np.int64))
+    assert all(r.taken == 0 and r.mix_shards == [] for r in mixing.taken(docs).collect())
+
+
+def test_shards_are_shuffled_locally(docs):
+    mixed = mixing.mix(docs, shards=3)
+    parts = mixing.shuffled(mixed, 4).rdd.glom().collect()
+    order = [(r.mix_shard, r.mix_order) for p in parts for r in p]
+    assert order == sorted(order) and len(order) == mixed.count() and {s for s, _ in order} == {0, 1, 2}
 
 
 # ---------------------------------------------------------------- 9 token output
