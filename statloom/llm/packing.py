@@ -1,9 +1,10 @@
 """Best-fit packing: a configuration linear program over the length histogram, solved by multiplicative weights.
 
-A configuration is a multiset of lengths that fits one sequence. Each round prices the lengths (multiplicative weights on
-how far their rows are covered), finds the configuration of most value by a knapsack dynamic program, and adds as much of it
-as the rows allow. The sum is rounded down to whole sequences; best fit over the histogram takes the rows left over. All of
-this is about the histogram, whose size the sequence length bounds; the rows are then placed by their rank within a length.
+A configuration is a multiset of lengths that fills one sequence. The program covers the rows of each length by fractional
+configurations; lengths whose cover lags behind gain weight, a knapsack dynamic program prices configurations at these
+weights, and each length that lags takes the best configuration that holds it. The largest of the configurations are rounded
+down to whole sequences; best fit over the histogram takes the rows left over. All of this is about the histogram, whose size
+the sequence length bounds; the rows are then placed by their rank within a length.
 """
 
 from __future__ import annotations
@@ -21,54 +22,96 @@ from pyspark.sql import types as T
 from statloom.llm import common
 
 LENGTH, END_ID = 4096, 1
-#: Rounds of multiplicative weights, and the rate of one.
-ROUNDS, RATE = 96, 0.5
-#: Room that a configuration may leave, as a share of the sequence, to be worth keeping when the sum is rounded.
-WASTE = 0.001
+#: Rounds of multiplicative weights, pricings in each, rate of the weights, and width of a configuration.
+ROUNDS, PRICINGS, RATE, WIDTH = 4, 3, 1.0, 4
 
 
 @dataclass
 class Run:
-    """`count` equal sequences from number `first` on; slots: (length, how many of it)."""
+    """`count` equal sequences from number `first` on; slots: (length, how many of it); `fitted`: by best fit."""
 
     first: int
     count: int
     slots: list[tuple[int, int]]
+    fitted: bool = False
+
+
+class Knapsack:
+    """Most value that each room can hold, lengths repeating at will, and what the best choice for a room begins with."""
+
+    def __init__(self, values: np.ndarray, lengths: np.ndarray, capacity: int) -> None:
+        self.lengths, self.best, self.pick = lengths, np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
+        best, upto = self.best, np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
+        for c in range(1, capacity + 1):
+            best[c] = best[c - 1]
+            if n := upto[c]:
+                gain = best[c - lengths[:n]] + values[:n]
+                j = int(gain.argmax())
+                if gain[j] > best[c]:
+                    best[c], self.pick[c] = gain[j], j
+        self.values = values
+
+    def around(self, j: int, most: np.ndarray) -> tuple[dict[int, int], int]:
+        """(index: count, room left) of the best configuration with j. Where it repeats a length beyond `most`, the longest
+        others that fit take the room."""
+        found, room = {j: 1}, len(self.best) - 1 - int(self.lengths[j])
+        c = room
+        while c > 0:
+            i = int(self.pick[c])
+            if i < 0:
+                c -= 1
+                continue
+            if found.get(i, 0) < most[i]:
+                found[i] = found.get(i, 0) + 1
+                room -= int(self.lengths[i])
+            c -= int(self.lengths[i])
+        while room > 0 and (at := int(np.searchsorted(self.lengths, room, side="right"))):
+            i = at - 1
+            while i >= 0 and found.get(i, 0) >= most[i]:
+                i -= 1
+            if i < 0:
+                break
+            found[i] = found.get(i, 0) + 1
+            room -= int(self.lengths[i])
+        return found, room
 
 
-def knapsack(values: np.ndarray, lengths: np.ndarray, most: np.ndarray, capacity: int) -> tuple[list[tuple[int, int]], float]:
-    """(index, count) of a configuration of great value, and the most that any configuration is worth.
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[dict[tuple, float], float]:
+    """Fractional configurations ((length, count), ...) that never exceed the demand, and a lower bound by linear duality.
 
-    The dynamic program lets a length repeat; where it repeats one beyond `most`, the longest others that fit fill the room.
+    In each of `rounds` rounds, of PRICINGS pricings at most, the share of the demand that is to be covered grows by as much. A round prices a row of a
+    length at its length times a weight, which shrinks by the exponent of how far the length's cover is ahead of the average,
+    and solves the knapsack for these prices. Lengths below the round's share, the longest first, then take their best
+    configuration, if that is full (others are left to best fit), by as much as the length that it exhausts first allows.
     """
-    best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1, np.int64)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
-    for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        if n := upto[c]:
-            gain = best[c - lengths[:n]] + values[:n]
-            j = int(gain.argmax())
-            if gain[j] > best[c]:
-                best[c], pick[c] = gain[j], j
-    found: dict[int, int] = {}
-    c, room = capacity, capacity
-    while c > 0:
-        j = int(pick[c])
-        if j < 0:
-            c -= 1
-            continue
-        if found.get(j, 0) < most[j]:
-            found[j] = found.get(j, 0) + 1
-            room -= int(lengths[j])
-        c -= int(lengths[j])
-    for j in np.flatnonzero(values > 0)[::-1].tolist():
-        if room < lengths[0]:
-            break
-        if k := min(int(most[j]) - found.get(j, 0), room // int(lengths[j])):
-            found[j] = found.get(j, 0) + k
-            room -= k * int(lengths[j])
-    return list(found.items()), float(best[capacity])
+    covered, config = np.zeros(len(lengths)), {}  # rows of each length, sequences of each configuration
+    bound = float(lengths @ demand) / capacity
+    # a configuration holds a length at most WIDTH times as often as the average sequence does, or once
+    width = np.maximum(1, np.ceil(WIDTH * demand / bound)).astype(np.int64)
+    for t in range(1, rounds + 1):
+        share = demand * t / rounds
+        for _ in range(PRICINGS):
+            open_ = covered < share - 1e-9 * demand
+            if not open_.any():
+                break
+            weight = np.exp(-RATE * (covered / demand - (covered / demand)[open_].mean()))
+            price = np.where(open_, lengths * np.clip(weight, 0.5, 2.0), 0.0)
+            known = Knapsack(price, lengths, capacity)
+            if known.best[capacity] > 0:
+                bound = max(bound, float(price @ demand) / known.best[capacity])
+            for j in np.flatnonzero(open_)[::-1].tolist():
+                if covered[j] >= share[j] - 1e-9 * demand[j]:
+                    continue
+                most = np.where(covered < share - 1e-9 * demand, width, 0)
+                found, room = known.around(j, most)
+                if room:
+                    continue
+                step = min((share[i] - covered[i]) / k for i, k in found.items())
+                key = tuple(sorted((int(lengths[i]), k) for i, k in found.items()))
+                config[key] = config.get(key, 0.0) + step
+                for i, k in found.items():
+                    covered[i] += k * step
+    return config, bound
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -99,44 +142,33 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[t
 
 
 def plan(histogram: dict[int, int], capacity: int = LENGTH, rounds: int = ROUNDS) -> tuple[list[Run], float]:
-    """Sequences that hold every row of the histogram exactly once; a lower bound on their number by linear duality."""
-    runs, first = [], 0
+    """Sequences that hold every row of the histogram exactly once; a lower bound on their number by linear duality.
+
+    Of the linear program's configurations as many as there are lengths are kept, those of most sequences, and rounded down;
+    best fit over the histogram takes the rows left over. Should best fit alone need fewer sequences, its plan is taken.
+    """
     left = {length: n for length, n in sorted(histogram.items()) if n > 0}
-    if capacity in left:  # rows that fill a sequence
-        runs.append(Run(0, left[capacity], [(capacity, 1)]))
-        first = left.pop(capacity)
-    full, bound = first, sum(x * n for x, n in left.items()) / capacity
-    if left:
-        lengths = np.array(sorted(left), np.int64)
-        demand = np.array([left[x] for x in lengths.tolist()], np.float64)
-        weight, covered = np.ones(len(lengths)), np.zeros(len(lengths))
-        configs: dict[tuple, float] = {}
-        for _ in range(rounds):
-            open_ = covered < demand
-            price = np.where(open_, weight * lengths / weight[open_].max(initial=1e-9), 0.0)
-            if not open_.any():
-                break
-            picks, worth = knapsack(price, lengths, np.floor(demand - covered), capacity)
-            bound = max(bound, float(price @ demand) / worth)  # prices over `worth` are a feasible dual
-            step = np.floor(min((demand[j] - covered[j]) / k for j, k in picks))
-            key = tuple(sorted((int(lengths[j]), k) for j, k in picks))
-            if capacity - sum(x * k for x, k in key) <= WASTE * capacity:
-                configs[key] = configs.get(key, 0.0) + step
-            for j, k in picks:
-                covered[j] += k * step
-            # lengths that lag behind gain weight
-            share = covered / demand
-            weight = np.exp(-RATE * np.log(len(lengths) + 1) * (share - share.min()))
-        for key, x in configs.items():
-            n = min(int(x), *(left.get(length, 0) // k for length, k in key))
-            if n > 0:
-                runs.append(Run(first, n, list(key)))
-                first += n
-                for length, k in key:
-                    left[length] -= n * k
-        for n, slots in best_fit({x: n for x, n in left.items() if n > 0}, capacity):
-            runs.append(Run(first, n, slots))
-            first += n
+    full = left.pop(capacity, 0)  # rows that fill a sequence
+    runs = [Run(0, full, [(capacity, 1)])] if full else []
+    if not left:
+        return runs, float(full)
+    lengths = np.array(sorted(left), np.int64)
+    solution, bound = solve(lengths, np.array([left[x] for x in lengths.tolist()], np.float64), capacity, rounds)
+    # of equal ones those that leave short rows to best fit
+    kept = sorted(solution.items(), key=lambda x: (-x[1], -x[0][0][0], x[0]))[: len(lengths)]
+    rest, mixed = dict(left), []
+    for key, x in kept:
+        n = min(int(x + 1e-9), *(rest[length] // k for length, k in key))
+        if n > 0:
+            mixed.append((n, list(key), False))
+            for length, k in key:
+                rest[length] -= n * k
+    mixed += [(n, slots, True) for n, slots in best_fit({x: n for x, n in rest.items() if n > 0}, capacity)]
+    alone = [(n, slots, True) for n, slots in best_fit(left, capacity)]
+    first = full
+    for n, slots, fitted in min(mixed, alone, key=lambda p: sum(x[0] for x in p)):
+        runs.append(Run(first, n, slots, fitted))
+        first += n
     return runs, full + bound
 
 
