@@ -229,7 +229,7 @@ class Powers:
         return (sums[ends] - sums[starts]) * self.down[starts]
 
 
-BYTES, WORDS = Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5)
+BYTES, WORDS, CHECKS = Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5), Powers(0x9FB21C651E98DF25)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

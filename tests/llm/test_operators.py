@@ -414,10 +414,39 @@ def test_substring_dedup(window, spark, odd, docs, empty):
         assert got == brute_removed(texts(df), window)
 
 
-def test_factors_are_removed_ranges(docs):
-    for r in substring_dedup.substring_dedup(docs).collect():
-        assert r.n_removed == sum(f.end - f.start for f in r.factors)
-        assert all(f.end - f.start >= 35 for f in r.factors)
+def test_factors_stand_in_their_reference(docs, odd):
+    """Each factor is at least a window long, its words stand where it points, and only factors' words go."""
+    for df in (docs, odd):
+        rows = substring_dedup.substring_dedup(df).collect()
+        words = {r.row_key: WORD.findall(r.text or "") for r in rows}
+        assert any(r.factors for r in rows)
+        for r in rows:
+            gone = set()
+            for f in r.factors:
+                n = f.end - f.start
+                assert n >= 35 and words[r.row_key][f.start : f.end] == words[f.ref][f.ref_start : f.ref_start + n]
+                gone |= set(range(f.start, f.end))
+            assert r.n_removed == len(gone)
+            starts = [f.start for f in r.factors]
+            assert starts == sorted(set(starts)) and [f.end for f in r.factors] == sorted({f.end for f in r.factors})
+
+
+def test_removal_rests_on_the_parse(docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "WINDOW", 35)
+    got = substring_dedup.matches(common.with_row_key(docs, "key").select("key", "text"), 35).collect()
+    assert got
+    for r in got:
+        cols = [np.array([getattr(x, c) for x in r.pieces], np.int64) for c in ("start", "end", "ref", "ref_start")]
+        covered = set().union(*(range(a, b) for a, b in zip(cols[0].tolist(), cols[1].tolist())))
+        parsed = substring_dedup.parse(*cols)
+        assert set().union(*(range(a, b) for a, b in parsed[:, :2].tolist())) == covered and len(parsed) <= len(r.pieces)
+
+
+def test_parse_joins_and_takes_the_longest():
+    f = lambda *rows: substring_dedup.parse(*np.array(rows, np.int64).T).tolist()
+    assert f((0, 40, 7, 100), (20, 60, 7, 120), (60, 100, 7, 160)) == [[0, 100, 7, 100]]
+    assert f((0, 40, 7, 100), (0, 60, 8, 5), (50, 95, 9, 0), (200, 240, 7, 0)) == [[0, 60, 8, 5], [50, 95, 9, 0], [200, 240, 7, 0]]
+    assert f((0, 40, 7, 100), (10, 50, 8, 0), (45, 90, 7, 3)) == [[0, 40, 7, 100], [10, 50, 8, 0], [45, 90, 7, 3]]
 
 
 # ---------------------------------------------------------------- 8 mixing
