@@ -2,34 +2,74 @@
 
 Distinct pre-tokens are inserted in a trie; the best segmentation's score of a prefix is computed once for each node, so
 pre-tokens with a common prefix share that work, and a terminal keeps its token count. A document's count is the sum over
-its pre-tokens. Each task keeps one trie for the rows it reads, so nothing is shuffled; beyond NODES nodes it starts anew.
+its pre-tokens. Each task keeps one trie for the rows it reads; beyond NODES nodes it starts anew. The shipped vocabulary has
+merges but no unigram scores, so these come from how often its encoder uses each piece in the whole corpus.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NODES = 500_000
+#: Nodes that a trie holds, and distinct pre-tokens that a task counts, before they start anew.
+NODES, WORDS = 500_000, 500_000
 _SPACE = "▁"
-_known: dict[str, "Trie"] = {}
+_known: dict[str, Trie] = {}
+
+
+def piece_counts(docs: DataFrame, path: str) -> dict[str, int]:
+    """How often the vocabulary's own encoder uses each piece in all texts of docs; the driver holds one count a piece.
+
+    Tasks count their pre-tokens first, WORDS distinct ones at a time, and each distinct one is encoded once in the end.
+    """
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.update((text or "").encode().split())
+            if len(held) > WORDS:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from sentencepiece import SentencePieceProcessor
+
+        model, held = SentencePieceProcessor(model_file=path), Counter()
+        for batch in batches:
+            for ids, n in zip(model.encode(batch.column(0).to_pylist(), num_threads=1), batch.column(1).to_pylist(), strict=True):
+                for i in ids:
+                    held[i] += n
+        names = [model.id_to_piece(i) for i in held]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(list(held.values()), pa.int64())], names=["piece", "n"])
+
+    each = docs.select("text").mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return {r["piece"]: r["n"] for r in each.mapInArrow(pieces, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
 
 
 class Vocabulary:
-    """Pieces with unigram scores: minus the log of a Zipf rank, which is the order of the vocabulary file."""
+    """Pieces with unigram scores: the log of a piece's share of all pieces counted, each counted once more than it was."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, counts: dict[str, int]) -> None:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
-        plain = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-        total = sum(1 / (r + 1) for r in range(len(plain)))
-        self.scores = {model.id_to_piece(i): -math.log((r + 1) * total) for r, i in enumerate(plain)}
-        self.longest = max(map(len, self.scores), default=1)
+        plain = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+        total = sum(counts.get(p, 0) + 1 for p in plain)
+        self.scores = {p: math.log((counts.get(p, 0) + 1) / total) for p in plain}
         # a character that is no piece falls back to a token for each byte
         self.byte_score = min(self.scores.values(), default=0.0) - 10.0
 
@@ -55,20 +95,21 @@ class Trie:
     def clear(self) -> None:
         self.size, self.computed = 1, 0
         self.root: dict = {}
-        self.terminal: dict[bytes, int] = {}
+        self.terminal: dict[bytes, tuple] = {}
 
     def count(self, word: bytes) -> int:
-        """Tokens of a pre-token, from its terminal if it was inserted before."""
-        n = self.terminal.get(word)
-        if n is None:
+        """Tokens of a pre-token, from its terminal node, which is found by name if the word was inserted before."""
+        node = self.terminal.get(word)
+        if node is None:
             if self.size > self.most:
                 self.clear()
-            n = self.terminal[word] = self._insert(_SPACE + word.decode())
-        return n
+            node = self.terminal[word] = self._insert(_SPACE + word.decode())
+        return node[1]
 
-    def _insert(self, word: str) -> int:
-        """Walk down from the root; only nodes that aren't there yet are computed. A node is (score, tokens, children)."""
-        node, path = self.root, [(0.0, 0)]
+    def _insert(self, word: str) -> tuple:
+        """The word's terminal: walk down from the root; only nodes that aren't there yet are computed. A node is (score,
+        tokens, children)."""
+        node, path, child = self.root, [(0.0, 0)], (0.0, 0, self.root)
         for i, c in enumerate(word):
             child = node.get(c)
             if child is None:
@@ -76,7 +117,7 @@ class Trie:
                 self.size += 1
             path.append(child[:2])
             node = child[2]
-        return path[-1][1]
+        return child
 
     def _score(self, word: str, end: int, path: list[tuple[float, int]]) -> tuple[float, int]:
         self.computed += 1
@@ -102,27 +143,26 @@ class Trie:
         return best, tokens
 
 
-def trie(path: str) -> Trie:
-    """One for each Python worker and vocabulary."""
-    if path not in _known:
-        _known[path] = Trie(Vocabulary(path))
-    return _known[path]
-
-
 def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """docs with n_words and n_tokens of the whole text.
 
     Pre-tokens are the runs of anything but white space (of ASCII), each with a mark for its start; characters without a
-    piece count a token for each byte. Null and empty texts have none of either. Columns of these names in docs are
-    replaced, others pass through; an empty table gives an empty table.
+    piece count a token for each byte. The unigram scores are those of the pieces' counts in all texts of docs. Null and
+    empty texts have no tokens. Columns of these names in docs are replaced, others pass through; an empty table gives an
+    empty table.
     """
     docs = docs.drop("n_words", "n_tokens")
+    counts = docs.sparkSession.sparkContext.broadcast(piece_counts(docs, vocabulary_path))  # one a piece of the vocabulary
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = trie(vocabulary_path)
+        if name not in _known:  # one for each Python worker
+            _known.clear()
+            _known[name] = Trie(Vocabulary(vocabulary_path, counts.value))
+        known = _known[name]
         for batch in batches:
             words, tokens = [], []
-            for text in batch.column("text").to_pylist():
+            for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
                 cut = (text or "").encode().split()
                 words.append(len(cut))
                 tokens.append(sum(map(known.count, cut)))
