@@ -60,8 +60,31 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(docs.select("doc_id", "held_out", "text"), known).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def sharding_64k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6 with a limit that small tables exceed too."""
+    return sharding.shard(common.documents(spark, sf_dir), 1 << 16, keep=False).select("doc_id", "bytes", "shard", "shard_depth", "shard_bytes", "shard_rows")
+
+
+def _sharding_sql(limit: int) -> str:
+    return f"""
+        WITH RECURSIVE h AS (
+            SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+                   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash FROM documents),
+        levels AS (
+            SELECT d, hash >> CAST(60 - d AS BIGINT) AS p, sum(bytes) AS b, count(*) AS n
+            FROM h, (SELECT unnest(range(25)) AS d) GROUP BY 1, 2),
+        tree AS (
+            SELECT d, p, b, n FROM levels WHERE d = 0
+            UNION ALL
+            SELECT l.d, l.p, l.b, l.n FROM tree t JOIN levels l ON l.d = t.d + 1 AND l.p >> 1 = t.p
+            WHERE t.b > {limit} AND t.n > 1)
+        SELECT doc_id, bytes, CASE WHEN d = 0 THEN '' ELSE lpad(bin(p), CAST(d AS INTEGER), '0') END AS shard,
+               CAST(d AS INTEGER) AS shard_depth, CAST(b AS BIGINT) AS shard_bytes, n AS shard_rows
+        FROM h JOIN tree ON hash >> CAST(60 - d AS BIGINT) = p WHERE b <= {limit} OR n = 1"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_order_minhash, op3_token_counts, op4_exact_dedup, op5_ngram_jaccard_join, op6_sharding, op7_substring_dedup, op8_source_mixing, op9_token_output, op10_language_id)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_order_minhash, op3_token_counts, op4_exact_dedup, op5_ngram_jaccard_join, op6_sharding, op7_substring_dedup, op8_source_mixing, op9_token_output, op10_language_id, sharding_64k)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -70,19 +93,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
-        "op6_sharding": f"""
-            WITH RECURSIVE h AS (
-                SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
-                       CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash FROM documents),
-            levels AS (
-                SELECT d, hash >> CAST(60 - d AS BIGINT) AS p, sum(bytes) AS b, count(*) AS n
-                FROM h, (SELECT unnest(range(13)) AS d) GROUP BY 1, 2),
-            tree AS (
-                SELECT d, p, b, n FROM levels WHERE d = 0
-                UNION ALL
-                SELECT l.d, l.p, l.b, l.n FROM tree t JOIN levels l ON l.d = t.d + 1 AND l.p >> 1 = t.p
-                WHERE t.b > {sharding.BYTE_LIMIT} AND t.n > 1)
-            SELECT doc_id, bytes, CASE WHEN d = 0 THEN '' ELSE lpad(bin(p), CAST(d AS INTEGER), '0') END AS shard,
-                   CAST(d AS INTEGER) AS shard_depth, CAST(b AS BIGINT) AS shard_bytes, n AS shard_rows
-            FROM h JOIN tree ON hash >> CAST(60 - d AS BIGINT) = p WHERE b <= {sharding.BYTE_LIMIT} OR n = 1""",
+        "op6_sharding": _sharding_sql(sharding.BYTE_LIMIT),
+        "sharding_64k": _sharding_sql(1 << 16),
     }

@@ -7,13 +7,15 @@ by task; what is still too large at its end is counted deeper, over those rows a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import common
 
 #: Bits of prefix that one round counts, bits of the hash, and bytes that a shard may hold.
 BITS, HASH_BITS, BYTE_LIMIT = 12, 60, 32 << 20
+#: Overflow pages, and rows, that one task fills one after the other.
+RUN_PAGES, RUN_ROWS = 16, 1_000_000
 
 
 def prefix_hash(key: Column) -> Column:
@@ -61,8 +63,9 @@ def shard(docs: DataFrame, byte_limit: int = BYTE_LIMIT, key: str = "doc_id", bi
     """docs with bytes, shard, shard_depth, shard_bytes, shard_rows.
 
     bytes is the UTF-8 length of text (null: 0). shard names the bucket by its hash prefix in bits (empty: one shard holds
-    all). Every shard fits byte_limit, except that a row above it has a shard of its own and that rows which repeat one key,
-    which no bit can part, are dealt over overflow pages "+1", "+2" and so on of their bucket, each within the limit.
+    all). Every shard fits byte_limit, except that a row above it has a shard of its own. Rows that repeat one key, which no
+    bit can part, go to overflow pages of their bucket, each within the limit: "+run.page", or "+run.page!" for a row of
+    more than half the limit, which has a page of its own. Runs are filled side by side, however many rows repeat a key.
     Columns of these names in docs are replaced; other columns pass through if keep is true, else only the key. An empty
     table gives an empty table.
     """
@@ -82,8 +85,15 @@ def shard(docs: DataFrame, byte_limit: int = BYTE_LIMIT, key: str = "doc_id", bi
     over = (F.col("shard_bytes") > byte_limit) & (F.col("shard_rows") > 1)
     if found.where((F.col("bytes") > byte_limit) & (F.col("rows") > 1)).isEmpty():
         return out
-    paged = out.where(over).selectExpr("*", f"sum(bytes) over (partition by shard order by {key}, bytes rows unbounded preceding) - bytes as __at")
-    paged = paged.withColumn("shard", F.concat("shard", F.lit("+"), F.floor(F.col("__at") / (byte_limit / 2)).cast("string"))).drop("__at")
+    runs = F.ceil(F.greatest(F.col("shard_bytes") / (RUN_PAGES * byte_limit), F.col("shard_rows") / RUN_ROWS))
+    paged = common.save(out.where(over).withColumn("__run", F.pmod(F.monotonically_increasing_id(), runs)), "pages")
+    half = max(1, byte_limit // 2)
+    alone = F.col("bytes") > half
+    order = Window.partitionBy("shard", "__run", alone).orderBy("bytes", key)
+    # small rows that start in one half of the limit end within the whole of it
+    upto = F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("bytes")
+    page = F.when(alone, F.concat(F.row_number().over(order).cast("string"), F.lit("!"))).otherwise(F.expr("string(__upto div %d)" % half))
+    paged = paged.withColumn("__upto", upto).withColumn("shard", F.concat("shard", F.lit("+"), F.col("__run").cast("string"), F.lit("."), page)).drop("__upto", "__run")
     sums = paged.groupBy("shard").agg(F.sum("bytes").alias("__b"), F.count("*").alias("__n"))
     paged = paged.join(sums, "shard").withColumn("shard_bytes", F.col("__b")).withColumn("shard_rows", F.col("__n")).select(*out.columns)
     return out.where(~over).unionByName(paged)
