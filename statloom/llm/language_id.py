@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 import zstandard
@@ -13,44 +15,53 @@ from pyspark.sql import types as T
 
 from statloom.llm import common
 
-#: Bytes of text that one language's dictionary holds, and rows per language that may give them.
+#: Bytes of text that one language's dictionary holds, and rows (of different texts) per language that may give them.
 DICTIONARY_BYTES, SAMPLE_ROWS = 112_640, 2_000
-#: Most text from one sampled row, so that a few long ones don't fill a dictionary.
-ROW_BYTES = 512
+#: Characters that one sampled row gives, from a place in its whole text that a hash picks, so that a few long ones don't fill
+#: a dictionary.
+PASSAGE = 512
+#: Rows of a language from which on the size of its dictionary counts for the others' (see learn).
+ENOUGH_ROWS = 20
 #: Least margin, as a share of the second smallest size, below which a prediction is rejected.
 MIN_MARGIN = 0.005
 LEVEL = 6
 #: Bytes that one frame compresses: short ones lean on the dictionary, not on the text's own past.
 BLOCK = 2_048
-_WORDS = re.compile(r"[^\W\d_]+")
+
+
+@cache
+def _letters() -> re.Pattern[str]:
+    """Runs of letters (category L). Word characters are letters, decimal digits, the underscore and other numbers."""
+    numbers = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+    return re.compile(rf"[^\W\d_{re.escape(''.join(numbers))}]+")
 
 
 def learn(docs: DataFrame, seed: int = 0) -> dict[str, bytes]:
-    """Raw-content dictionaries from labelled rows: SAMPLE_ROWS a language, those smallest by a hash of the text.
+    """Raw-content dictionaries from labelled rows: a passage each of the SAMPLE_ROWS texts a language that have the least
+    hashes; copies count once.
 
-    Rows with null or blank text or null lang aren't used. The dictionaries go to the driver: DICTIONARY_BYTES a language.
+    Rows with null text, text without letters or null lang aren't used. The dictionaries go to the driver: DICTIONARY_BYTES a
+    language. Lest a language gain by having more material, all are cut to the smallest of those of at least ENOUGH_ROWS
+    rows; a language with fewer rows keeps what it has and doesn't shrink the others.
     """
-    labelled = docs.where("text is not null and lang is not null and text rlike '\\\\p{L}'").select("lang", F.substring("text", 1, ROW_BYTES).alias("t"))
-    order = F.xxhash64("t", F.lit(seed))
-    # a cut on the hash that grows tighter with the table leaves about 1.5 SAMPLE_ROWS a language; copies count once
-    counts = labelled.groupBy("lang").count().collect()
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 1.5 * SAMPLE_ROWS / r["count"]))) for r in counts], F.lit(0.0)) if counts else F.lit(0.0)
-    near = labelled.select("lang", "t", order.alias("o")).where(F.pmod("o", F.lit(1_000_003)) < share * 1_000_003)
+    labelled = docs.where("text is not null and lang is not null and text rlike '\\\\p{L}'").select("lang", "text", F.xxhash64("text", F.lit(seed)).alias("o"))
+    # a cut on the hash by the number of distinct texts leaves about twice SAMPLE_ROWS a language, or all
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("o", 0.02).alias("n")).collect()
+    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2 * SAMPLE_ROWS / max(1, r["n"])))) for r in counts], F.lit(0.0)) if counts else F.lit(0.0)
+    start = F.pmod(F.xxhash64("o", F.lit(seed + 1)), F.greatest(F.lit(1), F.length("text") - PASSAGE + 1)) + 1
+    passage = F.substring("text", start.cast("int"), F.lit(PASSAGE))
+    near = labelled.where(F.pmod("o", F.lit(1_000_003)) < share * 1_000_003).select("lang", "o", passage.alias("t"))
     found: dict[str, list[str]] = {}
-    for r in near.dropDuplicates(["lang", "o"]).groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("o", "t"))), 1, SAMPLE_ROWS).alias("s")).collect():
+    for r in near.groupBy("lang", "o").agg(F.min("t").alias("t")).groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("o", "t"))), 1, SAMPLE_ROWS).alias("s")).collect():
         found[r["lang"]] = [x["t"] for x in r["s"]]
-    out = {}
-    for lang, texts in sorted(found.items()):
-        joined = " ".join(dict.fromkeys(map(letters, texts))).encode()
-        out[lang] = joined[:DICTIONARY_BYTES]
-    least = min(map(len, out.values()), default=0)
-    # equal sizes, lest a language gain by having more material; a very small one doesn't shrink the others
-    return {k: v[: max(least, 16_384)] for k, v in out.items()}
+    out = {lang: " ".join(dict.fromkeys(filter(None, map(letters, texts)))).encode()[:DICTIONARY_BYTES] for lang, texts in sorted(found.items())}
+    least = min((len(out[x]) for x, texts in found.items() if len(texts) >= ENOUGH_ROWS), default=DICTIONARY_BYTES)
+    return {k: v[:least] for k, v in out.items()}
 
 
 def letters(text: str) -> str:
     """The words of letters in lower case: digits, marks and shouting say nothing of the language."""
-    return " ".join(_WORDS.findall(text.lower()))
+    return " ".join(_letters().findall(text.lower()))
 
 
 class Classifier:

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
 
 from statloom.llm import common, components, exact_dedup, fingerprint, language_id, mixing, ngram_join, packing, sharding, substring_dedup, token_counts, token_output
 
@@ -168,7 +169,13 @@ def brute_count(vocabulary, word):
 def test_token_counts(which, request):
     df = request.getfixturevalue(which)
     got = {(r.doc_id, r.n_words, r.n_tokens) for r in token_counts.token_counts(df, PIECES).collect()}
-    vocabulary, known = token_counts.Vocabulary(PIECES), {}
+    counts = token_counts.piece_counts(df, PIECES)
+    model, want = SentencePieceProcessor(model_file=PIECES), Counter()
+    for _, t in texts(df):
+        for w in WORD.findall(t):
+            want.update(model.encode(w, out_type=str))
+    assert counts == want
+    vocabulary, known = token_counts.Vocabulary(PIECES, counts), {}
     for d, t in texts(df):
         words = WORD.findall(t)
         for w in words:
@@ -178,7 +185,7 @@ def test_token_counts(which, request):
 
 
 def test_trie_shares_prefixes():
-    vocabulary = token_counts.Vocabulary(PIECES)
+    vocabulary = token_counts.Vocabulary(PIECES, {"▁inter": 50, "national": 40, "▁": 3, "ly": 9})
     trie = token_counts.Trie(vocabulary, most=40)
     for w in (b"international", b"internationally"):
         trie.count(w)
@@ -382,6 +389,19 @@ def test_sharding(odd, docs, empty, spark):
     assert all(r.shard_bytes <= 40 for r in sharding.shard(same, 40, bits=30).collect())
 
 
+@pytest.mark.parametrize("sizes", [[45, 90], [45, 45, 45, 90, 51, 50, 50, 1, 0, 0, 100], [130, 20, 20], [100] * 40])
+def test_overflow_pages_fit(sizes, spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN_PAGES", 4)
+    df = spark.createDataFrame([(7, "x" * n) for n in sizes] + [(8, "y")], "doc_id long, text string")
+    got = sharding.shard(df, 100, bits=30).collect()
+    sums, rows = Counter(), Counter()
+    for r in got:
+        sums[r.shard] += r.bytes
+        rows[r.shard] += 1
+    assert len(got) == len(sizes) + 1
+    assert all(sums[r.shard] == r.shard_bytes and rows[r.shard] == r.shard_rows and (r.shard_bytes <= 100 or r.shard_rows == 1) for r in got)
+
+
 # ---------------------------------------------------------------- 7 substring dedup
 
 
@@ -576,6 +596,32 @@ def test_language_id_edges(odd, empty, docs):
     assert len(got) == odd.count()
     for d in (2, 3, 4, 13):
         assert got[d].lang_pred == "und" and got[d].score == 0 and got[d].lang_rejected
+    numbers = df_numbers(odd.sparkSession)
+    assert {r.lang_pred for r in language_id.language_id(numbers, known).collect()} == {"und"}
     assert language_id.language_id(empty, known).count() == 0
     assert language_id.learn(empty) == {}
     assert {r.lang_pred for r in language_id.language_id(odd, {}).collect()} == {"und"}
+
+
+def df_numbers(spark):
+    """Word characters that aren't letters."""
+    return spark.createDataFrame([(i, x) for i, x in enumerate("½ ² ① Ⅷ ٣ _ 〇".split())], "doc_id long, text string")
+
+
+def test_a_small_language_leaves_the_others_alone(docs):
+    known = language_id.learn(docs)
+    more = docs.unionByName(docs.limit(1).selectExpr("-1L as doc_id", "'kaksi sanaa' as text", "'fi' as lang", "'s' as source", "11L as n_chars").select(docs.columns))
+    got = language_id.learn(more)
+    assert got.pop("fi") == b"kaksi sanaa" and got == known
+
+
+def test_passages_come_from_whole_texts(spark):
+    rows = [(i, "x" * 3000 + f" abcdefgh{chr(97 + i % 26)}{chr(97 + i // 26)} " + "y" * 3000, "l") for i in range(60)]
+    known = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert b"x" in known["l"] and b"y" in known["l"]
+
+
+def test_copies_count_once(spark):
+    rows = [(i, f"copy of text {'abcdefghij'[i % 10]}", "l") for i in range(2000)]
+    known = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert known["l"].count(b"copy") == 10
