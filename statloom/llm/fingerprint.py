@@ -1,14 +1,13 @@
 """Order MinHash fingerprints of whole texts, in DataFrame operations only.
 
-A text's k-mers are runs of K words, numbered by occurrence, so that repeats count. For each of TUPLES tuples, LENGTH hash
-functions each select the k-mer with the least hash; the selected k-mers keep the order in which they stand in the text and
-the tuple is hashed. Two texts agree in a tuple only if they share the k-mers and their order, so the share of tuples in
+A text's k-mers are runs of K words, numbered by occurrence, so that repeats count. Each of TUPLES tuples orders them by a hash
+function of its own and selects the LENGTH least; these keep the order in which they stand in the text, and the tuple is hashed. Two texts agree in a tuple only if they share the k-mers and their order, so the share of tuples in
 which they agree follows their edit distance.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import common
@@ -18,14 +17,32 @@ K, TUPLES, LENGTH = 2, 32, 2
 PLACE = 30
 
 
-def _smaller(cuts: list[int], value: str) -> str:
-    """SQL for how many of the sorted cuts are below value: first among every step-th, then within one run."""
-    step = max(1, int(len(cuts) ** 0.5))
-    runs = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    long = lambda x: "array(" + ",".join(f"{v}L" for v in x) + ")"
-    coarse = f"size(filter({long([r[-1] for r in runs])}, x -> x < {value}))"
-    fine = f"size(filter(coalesce(element_at(array({','.join(map(long, runs))}, array()), {coarse} + 1), array()), x -> x < {value}))"
-    return f"{coarse} * {step} + {fine}" if cuts else "0"
+class _Ranges:
+    """Ranges of doc_ids between sorted cuts, as a small table that rows join: null ids are range 0, others 1 and up.
+
+    Ids fall by their high bits into cells, some four for a cut; a cell's row has the number of cuts before it and those in
+    it. The table's size follows the number of partitions, not of rows, and no plan holds the cuts.
+    """
+
+    def __init__(self, spark: SparkSession, cuts: list[int]) -> None:
+        self.low, self.high, self.shift = (cuts[0], cuts[-1], 0) if cuts else (0, 0, 0)
+        while (self.high >> self.shift) - (self.low >> self.shift) > 4 * len(cuts):
+            self.shift += 1
+        cells: dict[int, list[int]] = {c: [] for c in range(self.low >> self.shift, (self.high >> self.shift) + 1)}
+        for x in cuts:
+            cells[x >> self.shift].append(x)
+        rows, before = [], 0
+        for c, inside in cells.items():
+            rows.append((c, before, inside))
+            before += len(inside)
+        self.table = spark.createDataFrame(rows, "__cell long, __before int, __cuts array<long>")
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        """rows with __b, the range of their doc_id."""
+        cell = F.greatest(F.lit(self.low >> self.shift), F.least(F.lit(self.high >> self.shift), F.shiftright("doc_id", self.shift)))
+        joined = rows.withColumn("__cell", cell).join(F.broadcast(self.table), "__cell", "left")  # four rows a cut at most
+        inside = F.expr("1 + __before + size(filter(__cuts, x -> x < doc_id))")
+        return joined.withColumn("__b", F.when(F.col("doc_id").isNull(), 0).otherwise(inside)).drop("__cell", "__before", "__cuts")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -37,20 +54,26 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63) + 1)).alias("o"))
+    ids = docs.select("doc_id")
     parts = 8 * common.shuffle_partitions(spark)
-    shares = F.array(*[F.lit((i + 1) / parts) for i in range(parts)])
-    found = ids.agg(F.percentile_approx("o", shares, 100_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(found))[:-1]  # one value a range: their number is that of partitions
-    order = f"coalesce(doc_id, {-(1 << 63) + 1}L)"
-    bucket = _smaller(cuts, order)
-    heads = {r["b"]: r["h"] for r in ids.withColumn("doc_id", F.col("o")).groupBy(F.expr(bucket).alias("b")).agg(F.max("o").alias("h")).collect()}
+    shares = F.array(*[F.lit((i + 1) / 64) for i in range(63)])
+    # quantiles of quantiles: 63 cuts, and as many more inside each range as partitions call for
+    coarse = sorted(set(ids.agg(F.percentile_approx("doc_id", shares, 100_000).alias("c")).first()["c"] or []))
+    cuts = coarse
+    if parts > 64:
+        fine = -(-parts // 64)
+        inner = F.array(*[F.lit((i + 1) / fine) for i in range(fine - 1)])
+        found = _Ranges(spark, coarse).of(ids).groupBy("__b").agg(F.percentile_approx("doc_id", inner, 10_000).alias("c")).collect()  # a row a range
+        cuts = sorted({*coarse, *(x for r in found for x in r["c"] or [])})
+    ranges = _Ranges(spark, cuts)
+    heads = {r["__b"]: r["h"] for r in ranges.of(ids).groupBy("__b").agg(F.max("doc_id").alias("h")).collect()}  # a row a range
     held = sorted(heads)
-    after = {b: held[(i + 1) % len(held)] for i, b in enumerate(held)}  # the range whose end the head of b stands at
-    there = F.element_at(F.create_map(*[F.lit(x) for b in held for x in (heads[b], after[b])]), F.expr(order)) if held else F.lit(None).cast("int")
-    own = F.struct(F.expr(f"cast({bucket} as int)").alias("b"), F.lit(False).alias("g"))
-    ghost = F.struct(there.cast("int").alias("b"), F.lit(True).alias("g"))
-    dealt = docs.withColumn("__at", F.explode(F.array(own, ghost))).where("__at.b is not null").select(F.col("__at.b").alias("__b"), F.col("__at.g").alias("__ghost"), "doc_id", "text")
+    # the range whose end the head of a range stands at
+    after = spark.createDataFrame([(heads[b], held[(i + 1) % len(held)]) for i, b in enumerate(held)], "__head long, __there int")
+    own = F.struct(F.col("__b").alias("b"), F.lit(False).alias("g"))
+    ghost = F.struct(F.col("__there").alias("b"), F.lit(True).alias("g"))
+    dealt = ranges.of(docs).join(F.broadcast(after), F.col("doc_id").eqNullSafe(F.col("__head")), "left").withColumn("__at", F.explode(F.array(own, ghost))).where("__at.b is not null")
+    dealt = dealt.select(F.col("__at.b").alias("__b"), F.col("__at.g").alias("__ghost"), "doc_id", "text")
     window = Window.partitionBy("__b").orderBy("__ghost", F.desc_nulls_last("doc_id"), "text")
     return dealt.withColumn("__r", F.row_number().over(window)).withColumn("next_text", F.coalesce(F.lead("text").over(window), F.lit("")))
 
@@ -60,16 +83,16 @@ def edited() -> Column:
     return F.expr("concat(substring(text, 1, length(text) - length(text) div 3), substring(next_text, 1, cast(length(text) div 3 as int)))")
 
 
-def _minimum(j: int) -> Column:
-    high = -(1 << PLACE)
-    return F.min(F.xxhash64("__x", F.lit(j)).bitwiseAND(F.lit(high)).bitwiseOR(F.col("__pos").cast("long"))).alias(f"__m{j}")
+def _packed(j: int) -> Column:
+    """A k-mer under the order of tuple j: the high bits of its hash, then its place."""
+    return F.xxhash64("__x", F.lit(j)).bitwiseAND(F.lit(-(1 << PLACE))).bitwiseOR(F.col("__pos").cast("long")).alias(f"__p{j}")
 
 
 def _tuple(j: int) -> Column:
     """Hash of tuple j: its k-mers' hashes in the order of their places."""
-    picked = [F.col(f"__m{j * LENGTH + i}") for i in range(LENGTH)]
-    ordered = F.sort_array(F.array(*[F.struct(p.bitwiseAND(F.lit((1 << PLACE) - 1)), F.lit(i), F.shiftright(p, PLACE)) for i, p in enumerate(picked)]))
-    return F.xxhash64(ordered.getField("col2"), ordered.getField("col3"))
+    picked = [F.col(f"__m{j}_{i}") for i in range(LENGTH)]
+    ordered = F.sort_array(F.array(*[F.struct(p.bitwiseAND(F.lit((1 << PLACE) - 1)).alias("at"), F.shiftright(p, PLACE).alias("hash")) for p in picked]))
+    return F.xxhash64(ordered.getField("hash"))
 
 
 def signatures(texts: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,7 +105,16 @@ def signatures(texts: DataFrame, keys: list[str]) -> DataFrame:
     rows = words.select(*keys, F.size("w").alias("n"), F.posexplode(grams).alias("__pos", "g")).where(f"__pos <= greatest(n - {K}, 0)")
     rows = rows.select(*keys, F.xxhash64(*[f"g.w{i}" for i in range(K)]).alias("__h"), "__pos")
     rows = rows.withColumn("__x", F.xxhash64("__h", F.row_number().over(Window.partitionBy(*keys, "__h").orderBy("__pos"))))
-    found = rows.groupBy(*keys).agg(*[_minimum(j) for j in range(TUPLES * LENGTH)])
+    rows = rows.select(*keys, *[_packed(j) for j in range(TUPLES)])
+    # the least k-mer of each order, then the least above it: the rows of a text stand together, so nothing is shuffled or sorted
+    text = Window.partitionBy(*keys)
+    for i in range(LENGTH - 1):
+        above = [F.col(f"__p{j}") if i == 0 else F.when(F.col(f"__p{j}") > F.col(f"__m{j}_{i - 1}"), F.col(f"__p{j}")) for j in range(TUPLES)]
+        rows = rows.select("*", *[F.min(x).over(text).alias(f"__m{j}_{i}") for j, x in enumerate(above)])
+    last = LENGTH - 1
+    least = [F.min(f"__m{j}_{i}").alias(f"__m{j}_{i}") for j in range(TUPLES) for i in range(last)]
+    top = [F.min(F.when(F.col(f"__p{j}") > F.col(f"__m{j}_{last - 1}"), F.col(f"__p{j}")) if last else F.col(f"__p{j}")).alias(f"__m{j}_{last}") for j in range(TUPLES)]
+    found = rows.groupBy(*keys).agg(*least, *top)
     return found.select(*keys, F.array(*[_tuple(j) for j in range(TUPLES)]).alias("__sig"))
 
 

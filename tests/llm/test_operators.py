@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
@@ -129,6 +130,59 @@ def test_fingerprints(which, request):
     assert all(len(x) == 1 for x in one.values())
 
 
+def brute_fingerprint(text):
+    """Order MinHash from its definition: of the occurrence-numbered k-mers, the least under each order, in text order."""
+    def h(*parts):
+        seed = 42
+        for p in parts:
+            seed = xxhash.xxh64_intdigest(p, seed=seed)
+        return seed
+
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    words = WORD.findall(text)
+    grams = [words[i : i + fingerprint.K] for i in range(max(len(words) - fingerprint.K, 0) + 1)] if words else []
+    seen, numbered = Counter(), []
+    for g in grams:
+        x = h(*(w.encode() for w in g))
+        seen[x] += 1
+        numbered.append(h(x.to_bytes(8, "little"), seen[x].to_bytes(4, "little")))
+    out = []
+    for j in range(fingerprint.TUPLES):
+        order = sorted((signed(h(x.to_bytes(8, "little"), j.to_bytes(4, "little"))) >> fingerprint.PLACE, place) for place, x in enumerate(numbered))
+        least = sorted((place, x) for x, place in order[: fingerprint.LENGTH])
+        out.append(h(*((x & (1 << 64) - 1).to_bytes(8, "little") for _, x in least)) & 0xFFFFFFFF if numbered else 0)
+    return "".join(f"{x:08X}" for x in out)
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_fingerprints_by_definition(which, request):
+    df = request.getfixturevalue(which)
+    by = dict(texts(df))
+    got = fingerprint.fingerprints(df.where("doc_id % 4 = 1 or doc_id < 20")).collect()
+    order = sorted((r.doc_id for r in got), reverse=True)
+    for r in got:
+        t, after = by[r.doc_id], by[order[(order.index(r.doc_id) + 1) % len(order)]]
+        cut = len(t) // 3
+        assert r.fingerprint == brute_fingerprint(t)
+        assert r.edited_fingerprint == brute_fingerprint(t[: len(t) - cut] + after[:cut])
+
+
+def test_ranges(spark):
+    rng = random.Random(6)
+    for cuts in ([], [5], sorted(rng.sample(range(10_000), 300)), [-(1 << 62), 0, 3, 1 << 62]):
+        ids = [None, *range(-3, 12), *rng.sample(range(10_000), 50), 1 << 62, -(1 << 63), (1 << 63) - 1, *cuts]
+        rows = fingerprint._Ranges(spark, cuts).of(spark.createDataFrame([(i,) for i in ids], "doc_id long")).collect()
+        assert all(r["__b"] == (0 if r.doc_id is None else 1 + sum(c < r.doc_id for c in cuts)) for r in rows)
+
+
+def test_fingerprints_of_repeated_ids_and_one_row(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "g h i j"), (0, "k l m"), (None, "n o")]
+    got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.fingerprint) for r in got) == Counter((d, brute_fingerprint(t)) for d, t in rows)
+    one = fingerprint.fingerprints(spark.createDataFrame(rows[3:4], "doc_id long, text string")).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0 and one[0].edited_sha256 == hashlib.sha256(b"k l k").hexdigest()
+
+
 def test_fingerprints_follow_edits(docs):
     got = fingerprint.fingerprints(docs.where("n_chars > 600")).collect()
     assert np.mean([r.near_edited for r in got]) > 0.15 > 0.02 > np.mean([r.near_next for r in got])
