@@ -13,8 +13,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from statloom.functions.stats import CHI2_MEDIAN
+from statloom.operators import blocks
 
 
 def _design(covariates: DataFrame) -> DataFrame:
@@ -45,28 +47,47 @@ def phenotype_sums(phenotypes: DataFrame, covariates: DataFrame, k: int) -> Data
     return d.groupBy("phenotype").agg(_dots(F.col("c"), k + 1, F.col("y")).alias("b_cov"), F.sum(F.col("y") * F.col("y")).alias("c_yy"))
 
 
+def _kinds(*columns: tuple[DataFrame, str]) -> tuple[str, tuple]:
+    """SQL names and Arrow types of key columns."""
+    types = [d.schema[c].dataType for d, c in columns]
+    return ", ".join(f"{n} {t.simpleString()}" for n, t in zip(("variant", "phenotype"), types, strict=True)), tuple(to_arrow_type(t) for t in types)
+
+
 def pair_sums(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame) -> DataFrame:
-    """variant, phenotype, b4 = sum g*y over the samples of all three tables, multiplied block by block.
+    """variant, phenotype, b4 = sum g*y over the samples of all three tables, by tiles; a missing value adds nothing."""
+    keys, kinds = _kinds((dosages, "variant"), (phenotypes, "phenotype"))
 
-    Variants and phenotypes are packed by sample block, so each task multiplies two dense blocks; partial products add up.
-    """
-    ids = covariates.select("iid")
-    g = dosages.join(ids, "iid", "left_semi").groupBy("iid").agg(F.sort_array(F.collect_list(F.struct(F.col("variant").alias("f"), F.col("g").cast("double").alias("v")))).alias("g"))
-    y = phenotypes.groupBy("iid").agg(F.sort_array(F.collect_list(F.struct(F.col("phenotype").alias("f"), F.col("y").cast("double").alias("v")))).alias("y"))
+    def finish(sums: blocks.Sums) -> Iterator[pa.RecordBatch]:
+        yield from blocks.rows(sums, sums.pair["n"] > 0, {"b4": sums.pair["xy"]}, kinds, ("variant", "phenotype"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            kinds: dict[tuple, list] = {}
-            for a, b in zip(batch["g"], batch["y"], strict=True):
-                kinds.setdefault((tuple(r["f"] for r in a), tuple(r["f"] for r in b)), []).append(([r["v"] for r in a], [r["v"] for r in b]))
-            for key, rows in kinds.items():
-                total[key] = total.get(key, 0.0) + np.array([r[0] for r in rows]).T @ np.array([r[1] for r in rows])
-        for (variants, names), s in total.items():
-            yield pd.DataFrame({"variant": np.repeat(variants, len(names)), "phenotype": np.tile(names, len(variants)), "b4": s.ravel()})
+    there = dosages.join(covariates.select("iid"), "iid", "left_semi")
+    return blocks.multiply(there, phenotypes, finish, f"{keys}, b4 double", ("variant", "iid", "g"), ("phenotype", "iid", "y"))
 
-    schema = f"variant {dosages.schema['variant'].dataType.simpleString()}, phenotype {phenotypes.schema['phenotype'].dataType.simpleString()}, b4 double"
-    return g.join(y, "iid").mapInPandas(run, schema).groupBy("variant", "phenotype").agg(F.sum("b4").alias("b4"))
+
+def scan_simple(dosages: DataFrame, phenotypes: DataFrame, min_abs_t: float | None = None) -> DataFrame:
+    """variant, phenotype, n, beta, r2, t, se of simple regressions of every phenotype on every variant, by tiles.
+
+    A pair's samples are those that have both. Results are null where either is constant or fewer than three samples are left;
+    of a perfect fit t is null. Pairs at or under min_abs_t never leave the kernel, nor pairs without samples.
+    """
+    keys, kinds = _kinds((dosages, "variant"), (phenotypes, "phenotype"))
+
+    def finish(sums: blocks.Sums) -> Iterator[pa.RecordBatch]:
+        n, x, y, xx, yy, xy = (sums.pair[k] for k in ("n", "x", "y", "xx", "yy", "xy"))
+        with np.errstate(all="ignore"):
+            sxx, syy, sxy = xx - x * x / n, yy - y * y / n, xy - x * y / n
+            good = (n > 0) & (sxx > 1e-12 * xx) & (syy > 1e-12 * yy)
+            beta = np.where(good, sxy / sxx, np.nan)
+            r2 = np.where(good, sxy * sxy / (sxx * syy), np.nan)
+            t = np.where((n > 2) & (r2 < 1), np.sign(beta) * np.sqrt(r2 * (n - 2) / (1 - r2)), np.nan)
+            se = np.abs(beta / t)
+        keep = n > 0 if min_abs_t is None else np.abs(t) > min_abs_t
+        values = {"n": n.astype(np.int64), "beta": beta, "r2": r2, "t": t, "se": se}
+        for batch in blocks.rows(sums, keep, values, kinds, ("variant", "phenotype")):
+            columns = [c if not pa.types.is_floating(c.type) else pa.array(c.to_numpy(zero_copy_only=False), from_pandas=True) for c in batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return blocks.multiply(dosages, phenotypes, finish, f"{keys}, n long, beta double, r2 double, t double, se double", ("variant", "iid", "g"), ("phenotype", "iid", "y"))
 
 
 def study(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame, k: int) -> DataFrame:
@@ -211,66 +232,34 @@ def encode(genotypes: np.ndarray, phenotypes: np.ndarray, seed: int) -> tuple[np
             return genotypes @ f, np.linalg.solve(f, phenotypes)
 
 
-#: Features in a block of the dense scan.
-BLOCK = 512
-
-
-def _blocks(long: DataFrame, feature: str, value: str, ids: list, q: np.ndarray, n_blocks: int) -> DataFrame:
-    """(names, data, scale): blocks of features by sample, covariates projected out, each row of unit length."""
-    known = long.sparkSession.sparkContext.broadcast(({x: i for i, x in enumerate(ids)}, q))  # as large as the cohort
-    kind = dict(long.dtypes)[feature]
-
-    def pack_rows(part: pd.DataFrame) -> pd.DataFrame:
-        place, basis = known.value
-        names, row = np.unique(part["f"].to_numpy(), return_inverse=True)
-        at = part["iid"].map(place)
-        ok = (at.notna() & part["v"].notna()).to_numpy()
-        x = np.full((len(names), len(place)), np.nan)
-        x[row[ok], at[ok].astype(int)] = part["v"].to_numpy(float)[ok]
-        mean = np.nanmean(np.where(np.isnan(x).all(1, keepdims=True), 0.0, x), axis=1)
-        x = np.where(np.isnan(x), mean[:, None], x)
-        x = x - x @ basis @ basis.T
-        scale = np.sqrt((x * x).sum(1))
-        flat = scale <= 1e-9 * np.sqrt(x.shape[1]) * (1 + np.abs(mean))
-        scale[flat] = 0.0
-        x = np.divide(x, scale[:, None], out=np.zeros_like(x), where=scale[:, None] > 0)
-        return pd.DataFrame({"names": [list(names)], "data": [x.tobytes()], "scale": [list(scale)]})
-
-    rows = long.select(F.pmod(F.xxhash64(feature), F.lit(n_blocks)).alias("b"), F.col(feature).alias("f"), "iid", F.col(value).cast("double").alias("v"))
-    return rows.groupBy("b").applyInPandas(lambda p: pack_rows(p), f"names array<{kind}>, data binary, scale array<double>")
-
-
 def scan(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame, min_abs_t: float | None = None) -> DataFrame:
-    """variant, phenotype, beta, se, t of every pair in one cohort: both sides are freed of intercept and covariates block by
-    block, and each pair of blocks is one matrix product. Pairs at or under min_abs_t never leave the kernel.
+    """variant, phenotype, beta, se, t of every pair in one cohort, freed of intercept and covariates, by tiles.
 
-    Missing values take their feature's mean. Constant features give zeros. Agrees with solve(study()) on complete data.
+    Sums of products with the covariates are swept out of those of each pair (Frisch-Waugh), so a task holds tiles and sums
+    alone, whatever the number of variants, phenotypes or samples. Missing values take their feature's mean; samples are those
+    with covariates. Constant features give zeros. Pairs at or under min_abs_t never leave the kernel. Agrees with
+    solve(study()) on complete data.
     """
-    rows = covariates.select("iid", "c").collect()  # the cohort's samples
-    rows.sort(key=lambda r: r["iid"])
-    ids = [r["iid"] for r in rows]
-    c = np.column_stack([np.ones(len(rows)), *np.array([list(r["c"]) for r in rows], float).reshape(len(rows), -1).T])
-    u, s, _ = np.linalg.svd(c, full_matrices=False)
-    q = u[:, s > 1e-10 * s.max(initial=1.0)]
-    df = len(ids) - q.shape[1] - 1
-    count = lambda d, f: max(1, -(-d.select(f).distinct().count() // BLOCK))
-    g = _blocks(dosages, "variant", "g", ids, q, count(dosages, "variant"))
-    y = _blocks(phenotypes, "phenotype", "y", ids, q, count(phenotypes, "phenotype")).withColumnsRenamed({"names": "traits", "data": "values", "scale": "sizes"})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                names, data, scale, traits, values, sizes = (batch.column(j)[i] for j in range(6))
-                sg, sy = np.array(scale.as_py()), np.array(sizes.as_py())
-                r = np.frombuffer(data.as_py()).reshape(len(sg), -1) @ np.frombuffer(values.as_py()).reshape(len(sy), -1).T
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    t = r * np.sqrt(df / np.maximum(1 - r * r, 1e-300))
-                    beta = np.where(sg[:, None] > 0, r * sy / sg[:, None], 0.0)
-                keep = np.ones(t.shape, bool) if min_abs_t is None else np.abs(t) > min_abs_t
-                a, b = np.nonzero(keep)
-                t, beta = t[a, b], beta[a, b]
-                se = np.divide(np.abs(beta), np.abs(t), out=np.zeros_like(t), where=t != 0)
-                yield pa.RecordBatch.from_arrays([names.values.take(pa.array(a)), traits.values.take(pa.array(b)), pa.array(beta), pa.array(se), pa.array(t)], names=["variant", "phenotype", "beta", "se", "t"])
-
-    kinds = dict(dosages.dtypes)["variant"], dict(phenotypes.dtypes)["phenotype"]
-    return g.crossJoin(y).mapInArrow(run, f"variant {kinds[0]}, phenotype {kinds[1]}, beta double, se double, t double")
+    keys, kinds = _kinds((dosages, "variant"), (phenotypes, "phenotype"))
+    first = covariates.select(F.size("c")).first()
+    k = 1 + (first[0] if first else 0)
+
+    def finish(sums: blocks.Sums) -> Iterator[pa.RecordBatch]:
+        xy, xx, yy, xc, yc = sums.filled()
+        value, vector = np.linalg.eigh(sums.a / np.sqrt(np.outer(np.diag(sums.a), np.diag(sums.a)).clip(1e-300)))
+        good = value > 1e-10 * value.max()
+        scale = np.sqrt(np.diag(sums.a).clip(1e-300))
+        basis = vector[:, good] / np.sqrt(value[good]) / scale[:, None]  # basis @ basis.T inverts a
+        px, py = xc @ basis, yc @ basis
+        sxx, syy = xx - (px * px).sum(1), yy - (py * py).sum(1)
+        sxx, syy = np.where(sxx > 1e-12 * xx, sxx, 0.0)[:, None], np.where(syy > 1e-12 * yy, syy, 0.0)[None]
+        sxy = np.where((sxx > 0) & (syy > 0), xy - px @ py.T, 0.0)
+        df = sums.a[0, 0] - good.sum() - 1
+        beta = np.divide(sxy, sxx, out=np.zeros_like(sxy), where=sxx > 0)
+        rest = np.maximum(syy - beta * sxy, 1e-300)
+        se = np.sqrt(np.divide(rest, df * sxx, out=np.zeros_like(sxy), where=(sxx > 0) & (syy > 0) & (df > 0)))
+        t = np.divide(beta, se, out=np.zeros_like(sxy), where=se > 0)
+        keep = np.ones(t.shape, bool) if min_abs_t is None else np.abs(t) > min_abs_t
+        yield from blocks.rows(sums, keep, {"beta": beta, "se": se, "t": t}, kinds, ("variant", "phenotype"))
+
+    return blocks.multiply(dosages, phenotypes, finish, f"{keys}, beta double, se double, t double", ("variant", "iid", "g"), ("phenotype", "iid", "y"), _design(covariates), k)

@@ -86,9 +86,9 @@ def agg_strata(spark, d):
     return e.groupingSets([[], ["s"]], "s").agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("mean")).select(F.coalesce(F.col("s").cast("string"), F.lit("all")).alias("stratum"), "n", "mean")
 
 
-@query(f"SELECT a.feat AS i, b.feat AS j, round(corr(a.x, b.x), 6) AS r FROM {LONG} a JOIN {LONG} b ON a.iid = b.iid AND a.feat < b.feat WHERE a.feat < 8 AND b.feat < 8 GROUP BY ALL")
+@query(f"SELECT a.feat AS i, b.feat AS j, round(corr(a.x, b.x), 6) AS r FROM {LONG} a JOIN {LONG} b ON a.iid = b.iid AND a.feat < b.feat GROUP BY ALL")
 def agg_pearson_matrix(spark, d):
-    x = standins.long(Tables(spark, d)).where("feat < 8")
+    x = standins.long(Tables(spark, d))
     a, b = x.select("iid", F.col("feat").alias("i"), F.col("x").alias("x")), x.select("iid", F.col("feat").alias("j"), F.col("x").alias("y"))
     return a.join(b, "iid").where("i < j").groupBy("i", "j").agg(F.round(F.corr("x", "y"), 6).alias("r"))
 
@@ -170,11 +170,11 @@ def agg_call_summary(spark, d):
     return standins.dosages(Tables(spark, d)).groupBy("feat").agg(F.round(F.avg("g") / 2 * 100, 4).alias("percent"), (F.min("g") == F.max("g")).alias("invariant"))
 
 
-@query(f"SELECT a.iid AS i, b.iid AS j, round(sum((a.g - 2 * p) * (b.g - 2 * p) / (2 * p * (1 - p))) / 32, 6) AS grm FROM {DOSE} a JOIN {DOSE} b ON a.feat = b.feat AND a.iid >= b.iid JOIN (SELECT feat, avg(g) / 2 AS p FROM {DOSE} WHERE iid < 60 GROUP BY feat) f ON f.feat = a.feat WHERE a.iid < 60 AND b.iid < 60 GROUP BY ALL")
+@query(f"SELECT a.iid AS i, b.iid AS j, round(sum((a.g - 2 * p) * (b.g - 2 * p) / (2 * p * (1 - p))) / 32, 6) AS grm FROM {DOSE} a JOIN {DOSE} b ON a.feat = b.feat AND a.iid >= b.iid JOIN (SELECT feat, avg(g) / 2 AS p FROM {DOSE} GROUP BY feat) f ON f.feat = a.feat GROUP BY ALL")
 def grm(spark, d):
     from statloom.operators.matrix import relationship
 
-    return relationship(standins.dosages(Tables(spark, d)).where("iid < 60"), 0.0).select("i", "j", F.round("grm", 6).alias("grm"))
+    return relationship(standins.dosages(Tables(spark, d)), 0.0).select("i", "j", F.round("grm", 6).alias("grm"))
 
 
 @query("SELECT 'customers' AS metric, CAST(count(*) AS DOUBLE) AS value FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'mean_total', round(avg(o_totalprice), 4) FROM orders")
@@ -195,10 +195,10 @@ def agg_complete_rows(spark, d):
     return t.documents.join(t.labels, "doc_id", "left").agg(F.count_if(F.expr("quality is null or toxic is null")).alias("incomplete"), F.count_if(F.expr("quality is not null and toxic is not null")).alias("complete"))
 
 
-@query("SELECT side, k FROM (SELECT 'missing' AS side, c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))")
+@query("SELECT side, k FROM (SELECT 'missing' AS side, c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000))")
 def agg_chunk_completeness(spark, d):
     t = Tables(spark, d)
-    return quality.complete(t.orders.select(F.col("o_custkey").alias("k")), t.customer.select(F.col("c_custkey").alias("k")), "k").select("side", "k")
+    return quality.complete(t.orders.where("o_totalprice > 300000").select(F.col("o_custkey").alias("k")), t.customer.select(F.col("c_custkey").alias("k")), "k").select("side", "k")
 
 
 @query("""SELECT check_id, severity, round(observed, 6) AS observed, threshold, passed FROM (

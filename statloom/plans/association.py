@@ -15,15 +15,21 @@ LONG, DOSE, PHENO, PAIRS = standins.LONG_SQL, standins.DOSE_SQL, standins.PHENO_
 _COV = f"(SELECT iid, x AS c FROM {LONG} WHERE feat = 63)"
 
 
-def _study(t: Tables, variants: int = 8, traits: int = 40, label: int | None = None):
+def _study(t: Tables, label: int | None = None):
     """(dosages, phenotypes, covariates) under the names of assoc."""
     keep = F.lit(True) if label is None else F.col("label") == label
-    g = standins.dosages(t).where((F.col("feat") < variants) & keep).select(F.col("feat").alias("variant"), "iid", "g")
-    y = standins.phenotypes(t).where((F.col("feat") < traits) & keep).select(F.col("feat").alias("phenotype"), "iid", "y")
+    g = standins.dosages(t).where(keep).select(F.col("feat").alias("variant"), "iid", "g")
+    y = standins.phenotypes(t).where(keep).select(F.col("feat").alias("phenotype"), "iid", "y")
     ids = standins.long(t).where((F.col("feat") == 63) & keep).select("iid", F.array("x").alias("c"))
     return g, y, ids
 
 
+def _adjusted(t: Tables, label: int | None = None):
+    """The study of models with the covariate: feature 63 is no phenotype."""
+    g, y, c = _study(t, label)
+    return g, y.where("phenotype <> 63"), c
+
+
 @query(f"SELECT count(*) AS n, round(sum(c), 6) AS s1, round(sum(c * c), 6) AS s2 FROM {_COV}")
 def suffstat_covariates(spark, d):
     b = assoc.covariate_block(standins.covariates(Tables(spark, d)), 1)
@@ -33,14 +39,14 @@ def suffstat_covariates(spark, d):
 @query(f"SELECT feat AS variant, sum(g) AS s_g, round(sum(g * c), 6) AS s_gc, sum(g * g) AS s_gg, round(avg(g) / 2, 6) AS af FROM {DOSE} d JOIN {_COV} v ON d.iid = v.iid GROUP BY feat")
 def suffstat_variants(spark, d):
     t = Tables(spark, d)
-    s = assoc.variant_sums(_study(t, 32)[0], standins.covariates(t), 1)
+    s = assoc.variant_sums(_study(t)[0], standins.covariates(t), 1)
     return s.select("variant", F.col("a_test")[0].alias("s_g"), F.round(F.col("a_test")[1], 6).alias("s_gc"), F.col("a_test")[2].alias("s_gg"), F.round("af", 6).alias("af"))
 
 
 @query(f"SELECT feat AS phenotype, round(sum(y), 6) AS s_y, round(sum(y * c), 6) AS s_yc, round(sum(y * y), 6) AS s_yy FROM {PHENO} d JOIN {_COV} v ON d.iid = v.iid GROUP BY feat")
 def suffstat_phenotypes(spark, d):
     t = Tables(spark, d)
-    s = assoc.phenotype_sums(_study(t, 32, 64)[1], standins.covariates(t), 1)
+    s = assoc.phenotype_sums(_study(t)[1], standins.covariates(t), 1)
     return s.select("phenotype", F.round(F.col("b_cov")[0], 6).alias("s_y"), F.round(F.col("b_cov")[1], 6).alias("s_yc"), F.round("c_yy", 6).alias("s_yy"))
 
 
@@ -54,8 +60,8 @@ _REG = f"SELECT variant, phenotype, regr_count(y, g) AS n, regr_slope(y, g) AS b
 
 @query(f"SELECT variant, phenotype, n, round(beta, 6) AS beta, round(sign(beta) * sqrt(r2 * (n - 2) / (1 - r2)), 5) AS t, round(abs(beta / sqrt(r2 * (n - 2) / (1 - r2))), 6) AS se FROM ({_REG})")
 def pair_regression(spark, d):
-    r = assoc.pair_regression(standins.pairs(Tables(spark, d)), "variant", "phenotype")
-    return r.select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"), F.round("se", 6).alias("se"))
+    g, y, _ = _study(Tables(spark, d))
+    return assoc.scan_simple(g, y).select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"), F.round("se", 6).alias("se"))
 
 
 @query(f"SELECT variant, phenotype, round(sign(beta) * sqrt(r2 * (n - 2) / (1 - r2)), 5) AS t FROM ({_REG}) WHERE sqrt(r2 * (n - 2) / (1 - r2)) > 1.5")
@@ -66,22 +72,22 @@ def pair_regression_threshold(spark, d):
     return assoc.solve(assoc.study(g, y, none, 0), 1.5).select("variant", "phenotype", F.round("t", 5).alias("t"))
 
 
-#: One covariate by sweeping it out of both sides (Frisch-Waugh).
+#: One covariate by sweeping it out of both sides (Frisch-Waugh); the covariate itself, feature 63, is no phenotype then.
 _SWEPT = f"""(SELECT variant, phenotype, count(*) AS n, regr_sxx(y, g) - pow(regr_sxy(c, g), 2) / regr_sxx(y, c) AS gg,
     regr_sxy(y, g) - regr_sxy(c, g) * regr_sxy(y, c) / regr_sxx(y, c) AS gy, regr_syy(y, g) - pow(regr_sxy(y, c), 2) / regr_sxx(y, c) AS yy
-    FROM {PAIRS} p JOIN {_COV} v ON p.iid = v.iid GROUP BY ALL)"""
+    FROM {PAIRS} p JOIN {_COV} v ON p.iid = v.iid WHERE phenotype <> 63 GROUP BY ALL)"""
 
 
 @query(f"SELECT variant, phenotype, n, round(gy / gg, 6) AS beta, round(sqrt((yy - gy * gy / gg) / (n - 3) / gg), 6) AS se, round(gy / gg / sqrt((yy - gy * gy / gg) / (n - 3) / gg), 5) AS t FROM {_SWEPT}")
 def solve_cov1(spark, d):
-    r = assoc.solve(assoc.study(*_study(Tables(spark, d)), 1))
+    r = assoc.solve(assoc.study(*_adjusted(Tables(spark, d)), 1))
     return r.select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"), F.round("se", 6).alias("se"), F.round("t", 5).alias("t"))
 
 
 @query(f"SELECT variant, phenotype, n, round(gy / gg, 6) AS beta FROM {_SWEPT}")
 def solve_pooled_cohorts(spark, d):
     t = Tables(spark, d)
-    parts = [assoc.study(*_study(t, label=k), 1) for k in range(10)]
+    parts = [assoc.study(*_adjusted(t, k), 1) for k in range(10)]
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p)
@@ -111,7 +117,7 @@ _CHI2 = f"(SELECT r2 * (n - 2) / (1 - r2) AS chi2 FROM ({_REG}))"
 
 
 def _chi2(t: Tables):
-    return assoc.pair_regression(standins.pairs(t), "variant", "phenotype").select((F.col("t") ** 2).alias("chi2"))
+    return assoc.scan_simple(*_study(t)[:2]).select((F.col("t") ** 2).alias("chi2"))
 
 
 @query(f"SELECT round(quantile_cont(chi2, 0.5) / {CHI2_MEDIAN!r}, 6) AS lambda FROM {_CHI2}")
@@ -129,16 +135,16 @@ def lambda_regression(spark, d):
 
 @query()
 def pair_p_values(spark, d):
-    r = assoc.pair_regression(standins.pairs(Tables(spark, d), 32, 64), "variant", "phenotype")
+    r = assoc.scan_simple(*_study(Tables(spark, d))[:2])
     return r.select("variant", "phenotype", F.round(p_from_t("t", (F.col("n") - 2).cast("double")), 8).alias("p"))
 
 
 
 
-@query(f"SELECT l.iid, l.feat, round(x - a - b * c, 6) AS resid FROM {LONG} l JOIN {_COV} v ON l.iid = v.iid JOIN (SELECT feat, regr_intercept(x, c) AS a, regr_slope(x, c) AS b FROM {LONG} l JOIN {_COV} v ON l.iid = v.iid WHERE feat < 12 GROUP BY feat) f ON f.feat = l.feat")
+@query(f"SELECT l.iid, l.feat, round(x - a - b * c, 6) AS resid FROM {LONG} l JOIN {_COV} v ON l.iid = v.iid JOIN (SELECT feat, regr_intercept(x, c) AS a, regr_slope(x, c) AS b FROM {LONG} l JOIN {_COV} v ON l.iid = v.iid GROUP BY feat) f ON f.feat = l.feat")
 def residualise_linear(spark, d):
     t = Tables(spark, d)
-    r = assoc.residuals(standins.long(t).where("feat < 12").select("feat", "iid", "x"), standins.covariates(t), 1)
+    r = assoc.residuals(standins.long(t).select("feat", "iid", "x"), standins.covariates(t), 1)
     return r.select("iid", "feat", F.round("resid", 6).alias("resid"))
 
 
@@ -186,7 +192,7 @@ def vqtl_bf(spark, d):
 def vqtl_bf_p(spark, d):
     from statloom.operators.variance import brown_forsythe
 
-    r = brown_forsythe(standins.pairs(Tables(spark, d), 32, 64))
+    r = brown_forsythe(standins.pairs(Tables(spark, d)))
     return r.select("variant", "phenotype", F.round(p_from_f("f", F.col("d1").cast("double"), F.col("d2").cast("double")), 8).alias("p"))
 
 
@@ -196,7 +202,7 @@ def interaction_scan(spark, d):
     from statloom.operators.variance import interaction
 
     t = Tables(spark, d)
-    g, y, c = _study(t, 32, 64)
+    g, y, c = _study(t)
     return interaction(g, y, c.select("iid", F.col("c")[0].alias("i"))).select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))
 
 
@@ -227,9 +233,9 @@ def relatedness_prune(spark, d):
     return kinship.prune_related(edges, 0.35)
 
 
-@query(f"SELECT i, j, round((hets - 2 * opp) / (2 * least(hi, hj)) + 0.5 - (hi + hj) / (4 * least(hi, hj)), 6) AS kinship FROM (SELECT a.iid AS i, b.iid AS j, count(*) FILTER (a.g = 1 AND b.g = 1) AS hets, count(*) FILTER (abs(a.g - b.g) = 2) AS opp, count(*) FILTER (a.g = 1) AS hi, count(*) FILTER (b.g = 1) AS hj FROM {DOSE} a JOIN {DOSE} b ON a.feat = b.feat AND a.iid > b.iid WHERE a.iid < 50 AND b.iid < 50 GROUP BY ALL)")
+@query(f"SELECT i, j, round((hets - 2 * opp) / (2 * least(hi, hj)) + 0.5 - (hi + hj) / (4 * least(hi, hj)), 6) AS kinship FROM (SELECT a.iid AS i, b.iid AS j, count(*) FILTER (a.g = 1 AND b.g = 1) AS hets, count(*) FILTER (abs(a.g - b.g) = 2) AS opp, count(*) FILTER (a.g = 1) AS hi, count(*) FILTER (b.g = 1) AS hj FROM {DOSE} a JOIN {DOSE} b ON a.feat = b.feat AND a.iid > b.iid GROUP BY ALL)")
 def king_kinship(spark, d):
-    return kinship.king(standins.dosages(Tables(spark, d)).where("iid < 50")).select("i", "j", F.round("kinship", 6).alias("kinship"))
+    return kinship.king(standins.dosages(Tables(spark, d))).select("i", "j", F.round("kinship", 6).alias("kinship"))
 
 
 @query()
@@ -238,11 +244,11 @@ def knn_impute(spark, d):
     return matrix.knn_impute(e, "vec_id", "v").select("vec_id", F.transform("v", lambda x: F.round(x, 6)).alias("v"))
 
 
-@query(f"SELECT variant, phenotype, round(sum(g * y), 5) AS s_gy FROM {PAIRS} WHERE iid < 40 GROUP BY ALL")
+@query(f"SELECT variant, phenotype, round(sum(g * y), 5) AS s_gy FROM {PAIRS} GROUP BY ALL")
 def encode_invariant(spark, d):
     """Products of encoded genotypes and phenotypes: those of the plain ones."""
     g, y, _ = _study(Tables(spark, d))
-    x = lambda df, k, v: matrix.pack(df.where("iid < 40"), k, value=v).orderBy(k).collect()
+    x = lambda df, k, v: matrix.pack(df, k, value=v).orderBy(k).collect()
     a, b = x(g, "variant", "g"), x(y, "phenotype", "y")
     e, f = assoc.encode(np.array([r["values"] for r in a], float), np.array([r["values"] for r in b], float).T, 11)
     got = e @ f
@@ -284,4 +290,4 @@ def wilcoxon_w(spark, d):
 
 @query(f"SELECT variant, phenotype, round(gy / gg, 6) AS beta, round(gy / gg / sqrt((yy - gy * gy / gg) / (n - 3) / gg), 5) AS t FROM {_SWEPT}")
 def association_scan(spark, d):
-    return assoc.scan(*_study(Tables(spark, d))).select("variant", "phenotype", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))
+    return assoc.scan(*_adjusted(Tables(spark, d))).select("variant", "phenotype", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))

@@ -54,10 +54,10 @@ def align_right_coalesce(spark, d):
     return first.join(labels, "doc_id", "right").select("doc_id", F.coalesce("q2", "quality").alias("quality"))
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
 def align_anti(spark, d):
     t = Tables(spark, d)
-    return t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
+    return t.customer.join(t.orders.where("o_totalprice > 300000"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
@@ -120,25 +120,25 @@ def mapper_frequency_outliers(spark, d):
     return Tables(spark, d).part.select("p_partkey", (F.abs(F.col("p_retailprice") / 2000 - F.col("p_size") / 50.0) > 0.2).alias("outlier"))
 
 
-@query(f"SELECT s.event_id AS snp, c.event_id AS cpg, s.pos - c.pos AS apart FROM {_POS} s JOIN {_POS} c ON s.chr = c.chr AND abs(s.pos - c.pos) <= 1800 WHERE c.event_id % 100 = 0")
+@query(f"SELECT s.event_id AS snp, c.event_id AS cpg, s.pos - c.pos AS apart FROM {_POS} s JOIN {_POS} c ON s.chr = c.chr AND abs(s.pos - c.pos) <= 1800")
 def cis_range_join(spark, d):
     p = _positions(Tables(spark, d))
-    sites = p.where("event_id % 100 = 0").select(F.col("event_id").alias("cpg"), "chr", F.col("pos").alias("site"))
+    sites = p.select(F.col("event_id").alias("cpg"), "chr", F.col("pos").alias("site"))
     return ranges.near_join(p.withColumnRenamed("event_id", "snp"), sites, "chr", "pos", "site", 1800).select("snp", "cpg", (F.col("pos") - F.col("site")).alias("apart"))
 
 
-@query(f"SELECT e.event_id, i.event_id AS span FROM {_POS} e JOIN (SELECT event_id, chr, pos AS start, pos + 500 + event_id % 1000 AS stop FROM {_POS} WHERE event_id % 97 = 0) i ON e.chr = i.chr AND e.pos BETWEEN start - 150 AND stop + 150")
+@query(f"SELECT e.event_id, i.event_id AS span FROM {_POS} e JOIN (SELECT event_id, chr, pos AS start, pos + 500 + event_id % 1000 AS stop FROM {_POS}) i ON e.chr = i.chr AND e.pos BETWEEN start - 150 AND stop + 150")
 def interval_overlap(spark, d):
     p = _positions(Tables(spark, d))
-    spans = p.where("event_id % 97 = 0").selectExpr("event_id as span", "chr", "pos as start", "pos + 500 + event_id % 1000 as stop")
+    spans = p.selectExpr("event_id as span", "chr", "pos as start", "pos + 500 + event_id % 1000 as stop")
     return ranges.inside_join(p, spans, "chr", "pos", "start", "stop", 150, 2000).select("event_id", "span")
 
 
-@query(f"SELECT c.event_id AS cpg, min(v.value) AS least FROM {_POS} c JOIN {_POS} s ON s.chr = c.chr AND s.pos > c.pos - 3600 AND s.pos < c.pos + 3600 JOIN events v ON v.event_id = s.event_id WHERE c.event_id % 100 = 0 GROUP BY 1")
+@query(f"SELECT c.event_id AS cpg, min(v.value) AS least FROM {_POS} c JOIN {_POS} s ON s.chr = c.chr AND s.pos > c.pos - 3600 AND s.pos < c.pos + 3600 JOIN events v ON v.event_id = s.event_id GROUP BY 1")
 def window_min(spark, d):
     e = Tables(spark, d).events
     p = e.select(F.col("event_type").alias("chr"), F.unix_timestamp("ts").alias("pos"), "value", "event_id")
-    sites = p.where("event_id % 100 = 0").select(F.col("event_id").alias("cpg"), "chr", F.col("pos").alias("site"))
+    sites = p.select(F.col("event_id").alias("cpg"), "chr", F.col("pos").alias("site"))
     near = ranges.near_join(p.drop("event_id"), sites, "chr", "pos", "site", 3600).where(F.abs(F.col("pos") - F.col("site")) < 3600)
     return near.groupBy("cpg").agg(F.min("value").alias("least"))
 

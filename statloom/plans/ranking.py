@@ -13,7 +13,7 @@ from statloom.plans.catalog import Tables, query
 LONG = standins.LONG_SQL
 _TIED = "(SELECT l_orderkey AS k, l_linenumber AS i, l_returnflag AS g, CAST(l_quantity AS DOUBLE) AS x FROM lineitem)"
 _RANK = f"(SELECT *, rank() OVER (PARTITION BY g ORDER BY x) + (count(*) OVER (PARTITION BY g, x) - 1) / 2.0e0 AS r FROM {_TIED})"
-_FEAT = f"(SELECT iid, feat, x FROM {LONG} WHERE feat < 6)"
+_FEAT = f"(SELECT iid, feat, x FROM {LONG})"
 _FRANK = f"(SELECT *, rank() OVER (PARTITION BY feat ORDER BY x) + (count(*) OVER (PARTITION BY feat, x) - 1) / 2.0e0 AS r FROM {_FEAT})"
 
 
@@ -22,7 +22,7 @@ def _tied(t: Tables):
 
 
 def _feat(t: Tables):
-    return standins.long(t).where("feat < 6").select("iid", "feat", "x")
+    return standins.long(t).select("iid", "feat", "x")
 
 
 @query(f"SELECT k, i, r FROM {_RANK}")

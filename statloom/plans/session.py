@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def shared(spark: SparkSession) -> None:
-    """checkpoint() writes to the folder in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """checkpoint() writes to the folder in spark.checkpoint.dir; in local mode, where it may be unset, to a temporary one."""
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="statloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="statloom-"))
 
 
 def ship(spark: SparkSession) -> None:

@@ -13,7 +13,7 @@ SPLIT, CUT = 32, 0.055
 LONG_SQL = "(SELECT vec_id AS iid, label, CAST(unnest(range(64)) AS INTEGER) AS feat, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)"
 DOSE_SQL = f"(SELECT iid, label, feat, CASE WHEN x < -{CUT}e0 THEN 0e0 WHEN x < {CUT}e0 THEN 1e0 ELSE 2e0 END AS g FROM {LONG_SQL} WHERE feat < {SPLIT})"
 PHENO_SQL = f"(SELECT iid, label, feat, x AS y FROM {LONG_SQL} WHERE feat >= {SPLIT})"
-PAIRS_SQL = f"(SELECT d.iid, d.label, d.feat AS variant, p.feat AS phenotype, g, y FROM {DOSE_SQL} d JOIN {PHENO_SQL} p ON d.iid = p.iid WHERE d.feat < 8 AND p.feat < 40)"
+PAIRS_SQL = f"(SELECT d.iid, d.label, d.feat AS variant, p.feat AS phenotype, g, y FROM {DOSE_SQL} d JOIN {PHENO_SQL} p ON d.iid = p.iid)"
 
 
 def long(t: Tables) -> DataFrame:
@@ -28,9 +28,9 @@ def phenotypes(t: Tables) -> DataFrame:
     return long(t).where(F.col("feat") >= SPLIT).select("iid", "label", "feat", F.col("x").alias("y"))
 
 
-def pairs(t: Tables, variants: int = 8, traits: int = 40) -> DataFrame:
-    d = dosages(t).where(F.col("feat") < variants).withColumnRenamed("feat", "variant")
-    p = phenotypes(t).where(F.col("feat") < traits).select("iid", F.col("feat").alias("phenotype"), "y")
+def pairs(t: Tables) -> DataFrame:
+    d = dosages(t).withColumnRenamed("feat", "variant")
+    p = phenotypes(t).select("iid", F.col("feat").alias("phenotype"), "y")
     return d.join(p, "iid")
 
 
