@@ -74,6 +74,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     ghost = F.struct(F.col("__there").alias("b"), F.lit(True).alias("g"))
     dealt = ranges.of(docs).join(F.broadcast(after), F.col("doc_id").eqNullSafe(F.col("__head")), "left").withColumn("__at", F.explode(F.array(own, ghost))).where("__at.b is not null")
     dealt = dealt.select(F.col("__at.b").alias("__b"), F.col("__at.g").alias("__ghost"), "doc_id", "text")
+    # more partitions than other shuffles: a text's k-mers take some twenty times its room
+    dealt = dealt.repartition(4 * common.shuffle_partitions(spark), "__b")
     window = Window.partitionBy("__b").orderBy("__ghost", F.desc_nulls_last("doc_id"), "text")
     return dealt.withColumn("__r", F.row_number().over(window)).withColumn("next_text", F.coalesce(F.lead("text").over(window), F.lit("")))
 
