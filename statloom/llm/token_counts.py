@@ -8,18 +8,21 @@ merges but no unigram scores, so these come from how often its encoder uses each
 
 from __future__ import annotations
 
+import gc
 import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Nodes that a trie holds, and distinct pre-tokens that a task counts, before they start anew.
-NODES, WORDS = 500_000, 500_000
+NODES, WORDS = 1_000_000, 500_000
 _SPACE = "▁"
 _known: dict[str, Trie] = {}
 
@@ -27,37 +30,34 @@ _known: dict[str, Trie] = {}
 def piece_counts(docs: DataFrame, path: str) -> dict[str, int]:
     """How often the vocabulary's own encoder uses each piece in all texts of docs; the driver holds one count a piece.
 
-    Tasks count their pre-tokens first, WORDS distinct ones at a time, and each distinct one is encoded once in the end.
+    A task counts its pre-tokens, WORDS distinct ones at a time, and encodes each distinct one once.
     """
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from sentencepiece import SentencePieceProcessor
+
+        model, held, total = SentencePieceProcessor(model_file=path), Counter(), np.zeros(0, np.int64)
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+        def add() -> None:
+            words, counts = list(held), np.array(list(held.values()), np.int64)
+            for at in range(0, len(words), 10_000):
+                ids = model.encode([w.decode() for w in words[at : at + 10_000]], num_threads=1)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                total[:] += np.bincount(np.fromiter(chain.from_iterable(ids), np.int64, sizes.sum()), np.repeat(counts[at : at + 10_000], sizes), len(total)).astype(np.int64)
+            held.clear()
 
+        total = np.zeros(model.get_piece_size(), np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 held.update((text or "").encode().split())
             if len(held) > WORDS:
-                yield out()
-                held.clear()
-        if held:
-            yield out()
+                add()
+        add()
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([model.id_to_piece(int(i)) for i in used], pa.string()), pa.array(total[used])], names=["piece", "n"])
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from sentencepiece import SentencePieceProcessor
-
-        model, held = SentencePieceProcessor(model_file=path), Counter()
-        for batch in batches:
-            for ids, n in zip(model.encode(batch.column(0).to_pylist(), num_threads=1), batch.column(1).to_pylist(), strict=True):
-                for i in ids:
-                    held[i] += n
-        names = [model.id_to_piece(i) for i in held]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(list(held.values()), pa.int64())], names=["piece", "n"])
-
-    each = docs.select("text").mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {r["piece"]: r["n"] for r in each.mapInArrow(pieces, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+    found = docs.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    return {r["piece"]: r["n"] for r in found.collect()}
 
 
 class Vocabulary:
@@ -109,39 +109,32 @@ class Trie:
     def _insert(self, word: str) -> tuple:
         """The word's terminal: walk down from the root; only nodes that aren't there yet are computed. A node is (score,
         tokens, children)."""
-        node, path, child = self.root, [(0.0, 0)], (0.0, 0, self.root)
-        for i, c in enumerate(word):
+        node, scores, tokens, child, pieces = self.root, [0.0], [0], (0.0, 0, self.root), self.vocabulary.scores
+        for end, c in enumerate(word, 1):
             child = node.get(c)
             if child is None:
-                child = node[c] = (*self._score(word, i + 1, path), {})
+                best, least, ends, start = -math.inf, 0, self.ends, end
+                while start:
+                    start -= 1
+                    ends = ends.get(word[start])
+                    if ends is None:
+                        break
+                    if "" in ends:
+                        score = ends[""] + scores[start]
+                        if score > best or score == best and tokens[start] + 1 < least:
+                            best, least = score, tokens[start] + 1
+                if c not in pieces:
+                    score, n = self.vocabulary.byte_fallback(c)
+                    if score + scores[-1] > best:
+                        best, least = score + scores[-1], n + tokens[-1]
+                child = node[c] = (best, least, {})
                 self.size += 1
-            path.append(child[:2])
+                self.computed += 1
+            scores.append(child[0])
+            tokens.append(child[1])
             node = child[2]
         return child
 
-    def _score(self, word: str, end: int, path: list[tuple[float, int]]) -> tuple[float, int]:
-        self.computed += 1
-        char = word[end - 1]
-        best, tokens = -math.inf, 0
-        ends, start = self.ends, end
-        while start > 0:
-            ends = ends.get(word[start - 1])
-            if ends is None:
-                break
-            start -= 1
-            score = ends.get("")
-            if score is not None:
-                before, n = path[start]
-                score += before
-                if score > best or score == best and n + 1 < tokens:
-                    best, tokens = score, n + 1
-        if char not in self.vocabulary.scores:
-            score, n = self.vocabulary.byte_fallback(char)
-            before, m = path[end - 1]
-            if score + before > best:
-                best, tokens = score + before, n + m
-        return best, tokens
-
 
 def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """docs with n_words and n_tokens of the whole text.
@@ -160,13 +153,17 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
             _known.clear()
             _known[name] = Trie(Vocabulary(vocabulary_path, counts.value))
         known = _known[name]
-        for batch in batches:
-            words, tokens = [], []
-            for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
-                cut = (text or "").encode().split()
-                words.append(len(cut))
-                tokens.append(sum(map(known.count, cut)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[*batch.schema.names, "n_words", "n_tokens"])
+        gc.disable()  # nodes form no cycles, and there are too many to look through time and again
+        try:
+            for batch in batches:
+                words, tokens = [], []
+                for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
+                    cut = (text or "").encode().split()
+                    words.append(len(cut))
+                    tokens.append(sum(map(known.count, cut)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[*batch.schema.names, "n_words", "n_tokens"])
+        finally:
+            gc.enable()
 
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType())])
     return docs.mapInArrow(run, schema)
