@@ -29,11 +29,14 @@ LEVEL = 6
 BLOCK = 2_048
 
 
+#: Runs of word characters but decimal digits and the underscore: letters, and the few numbers of other kinds.
+_WORDS = re.compile(r"[^\W\d_]+")
+
+
 @cache
-def _letters() -> re.Pattern[str]:
-    """Runs of letters (category L). Word characters are letters, decimal digits, the underscore and other numbers."""
-    numbers = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
-    return re.compile(rf"[^\W\d_{re.escape(''.join(numbers))}]+")
+def _numbers() -> dict[int, str]:
+    """Word characters that are numbers but no decimal digits, as blanks."""
+    return {c: " " for c in range(sys.maxunicode + 1) if (x := chr(c)).isalnum() and not x.isalpha() and not x.isdecimal()}
 
 
 def learn(docs: DataFrame, seed: int = 0) -> dict[str, bytes]:
@@ -60,8 +63,11 @@ def learn(docs: DataFrame, seed: int = 0) -> dict[str, bytes]:
 
 
 def letters(text: str) -> str:
-    """The words of letters in lower case: digits, marks and shouting say nothing of the language."""
-    return " ".join(_letters().findall(text.lower()))
+    """The words of letters (category L) in lower case: digits, marks and shouting say nothing of the language."""
+    words = _WORDS.findall(text.lower())
+    if not "".join(words).isalpha():  # a number among them: rare, so only now the slower way
+        words = _WORDS.findall(text.lower().translate(_numbers()))
+    return " ".join(words)
 
 
 class Classifier:
