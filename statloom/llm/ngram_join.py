@@ -22,7 +22,7 @@ from statloom.llm import common
 from statloom.llm.components import Forest, components
 
 #: Ratio of a size band's ends, and sets that one task compares with one another.
-BAND, CELL = 1.5, 2048
+BAND, CELL = 1.5, 512
 #: Keys of large groups that a set may go without, in each band.
 COMMON = 2
 _SEED = np.uint64(0x5851F42D4C957F2D)
