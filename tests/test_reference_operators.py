@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from statloom.functions import scalars, stats
-from statloom.operators import align, assoc, kinship, matrix, quality, ranges, ranks, scores, variance
+from statloom.operators import align, assoc, blocks, kinship, matrix, quality, ranges, ranks, scores, variance
 from statloom.sources import schema
 
 G, Y, C = [0, 1, 2, 1, 0, 2], [1.0, 1.9, 3.2, 2.1, 0.8, 2.9], [30, 40, 50, 35, 45, 60]
@@ -75,7 +75,7 @@ def test_dense_scan_equals_statistics(spark, study, monkeypatch):
     more = spark.createDataFrame([(f"w{j}", i, float(rng.integers(0, 3))) for j in range(7) for i in range(6)] + [("flat", i, 1.0) for i in range(6)], "variant string, iid int, g double")
     traits = spark.createDataFrame([(f"q{j}", i, float(rng.normal())) for j in range(5) for i in range(6)], "phenotype string, iid int, y double")
     g, y = g.union(more), y.union(traits)
-    monkeypatch.setattr(assoc, "BLOCK", 3)
+    monkeypatch.setattr(blocks, "ROWS", 3)
     for c, k in ((none, 0), (one, 1)):
         want = {(r.variant, r.phenotype): (r.beta, r.se, r.t) for r in assoc.solve(assoc.study(g, y, c, k)).collect()}
         got = {(r.variant, r.phenotype): (r.beta, r.se, r.t) for r in assoc.scan(g, y, c).collect()}
