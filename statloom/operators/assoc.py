@@ -161,6 +161,13 @@ def pair_regression(pairs: DataFrame, *by: str, x: str = "g", y: str = "y") -> D
     return out.withColumn("t", t).withColumn("se", F.abs(F.col("beta") / F.col("t")))
 
 
+def by_correlation(fits: DataFrame) -> DataFrame:
+    """variant, phenotype, n, b, f, se from scan_simple(): the slope r * sd(y) / sd(x), F = r**2 / ((1 - r**2) / (n - 2)) and
+    the error |b| / sqrt(F). Its p value is that of F with 1 and n - 1 degrees of freedom, not n - 2."""
+    f = F.col("t") ** 2
+    return fits.select("variant", "phenotype", "n", F.col("beta").alias("b"), f.alias("f"), (F.abs("beta") / F.sqrt(f)).alias("se"))
+
+
 def meta_fixed(results: DataFrame, cohorts: int | None = None) -> DataFrame:
     """Inverse-variance meta-analysis of rows (variant, phenotype, beta, se, n): beta, se, q, i2 raw and clipped at 0.
 

@@ -85,7 +85,7 @@ def _count(long: DataFrame, name: str, size: int) -> int:
     return max(1, -(-long.agg(F.approx_count_distinct(name)).first()[0] // size))
 
 
-def _tiles(long: DataFrame, row: str, col: str, value: str, r: int, c: int) -> DataFrame:
+def _tiles(long: DataFrame, row: str, col: str, value: str, r: int, c: int, dealt: str | None = None) -> DataFrame:
     kinds = dict(long.dtypes)
 
     def dense(part: pd.DataFrame) -> pd.DataFrame:
@@ -96,20 +96,26 @@ def _tiles(long: DataFrame, row: str, col: str, value: str, r: int, c: int) -> D
         return pd.DataFrame({"r": part["r"].iloc[:1], "c": part["c"].iloc[:1], "names": [list(names)], "cols": [list(cols)], "data": [x.tobytes()]})
 
     block = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
-    rows = long.select(block(row, r).alias("r"), block(col, c).alias("c"), F.col(row).alias("row"), F.col(col).alias("col"), F.col(value).cast("double").alias("v"))
+    rows = long.select((F.col(dealt) if dealt else block(row, r)).cast("int").alias("r"), block(col, c).alias("c"), F.col(row).alias("row"), F.col(col).alias("col"), F.col(value).cast("double").alias("v"))
     return rows.groupBy("r", "c").applyInPandas(dense, f"r int, c int, names array<{kinds[row]}>, cols array<{kinds[col]}>, data binary")
 
 
-def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterator[pa.RecordBatch]], schema: str, names: tuple[str, str, str], others: tuple[str, str, str], covariates: DataFrame | None = None, k: int = 0) -> DataFrame:
+def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterator[pa.RecordBatch]], schema: str, names: tuple[str, str, str], others: tuple[str, str, str], covariates: DataFrame | None = None, k: int = 0, band: tuple[str, int] | None = None) -> DataFrame:
     """What finish() makes of the Sums of each pair of row blocks. names and others: the (row, col, value) columns of either
-    side; covariates: (col, c array of k), which also says which columns there are."""
+    side; covariates: (col, c array of k), which also says which columns there are. band: a column of both sides that deals
+    their rows into numbered blocks, and how much larger the right block's number may be than the left one's: only such pairs
+    meet then, without covariates."""
     spark = left.sparkSession
-    r, s, c = _count(left, names[0], ROWS), _count(right, others[0], ROWS), _count(left, names[1], COLS)
+    r, s = (1, 1) if band else (_count(left, names[0], ROWS), _count(right, others[0], ROWS))
+    c = _count(left, names[1], COLS)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     kind = dict(left.dtypes)[names[0]], dict(right.dtypes)[others[0]]
     none = lambda t: F.expr(f"cast(null as array<{t}>)").alias
-    x = _tiles(left, *names, r, c).select("r", each(s).alias("s"), "c", F.lit(1).alias("side"), "cols", "data", F.col("names").alias("xn"), none(kind[1])("yn"))
-    y = _tiles(right, *others, s, c).withColumnRenamed("r", "s").select(each(r).alias("r"), "s", "c", F.lit(2).alias("side"), "cols", "data", none(kind[0])("xn"), F.col("names").alias("yn"))
+    dealt, far = band or (None, 0)
+    after = F.explode(F.sequence(F.col("r"), F.col("r") + far)) if band else each(s)
+    before = F.explode(F.sequence(F.col("s") - far, F.col("s"))) if band else each(r)
+    x = _tiles(left, *names, r, c, dealt).select("r", after.alias("s"), "c", F.lit(1).alias("side"), "cols", "data", F.col("names").alias("xn"), none(kind[1])("yn"))
+    y = _tiles(right, *others, s, c, dealt).withColumnRenamed("r", "s").select(before.alias("r"), "s", "c", F.lit(2).alias("side"), "cols", "data", none(kind[0])("xn"), F.col("names").alias("yn"))
     tiles = x.unionByName(y)
     if covariates is not None:
         flat = covariates.select(F.col(names[1]), F.posexplode("c").alias("__j", "__v"))

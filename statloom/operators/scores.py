@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,3 +31,8 @@ def signed_score(values: DataFrame, signature: DataFrame) -> DataFrame:
 def entropy(shares: DataFrame) -> DataFrame:
     """iid, entropy in bits over positive shares x."""
     return shares.where("x > 0").groupBy("iid").agg((-F.sum(F.col("x") * F.log2("x"))).alias("entropy"))
+
+
+def rolled_up(wide: DataFrame, groups: dict[str, list[str]], suffix: str, key: str) -> DataFrame:
+    """key and, for each group, the sum of its cell types' columns, named with the suffix; null if any of them is."""
+    return wide.select(key, *[reduce(add, map(F.col, cells)).alias(name + suffix) for name, cells in groups.items()])

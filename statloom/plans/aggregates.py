@@ -56,7 +56,13 @@ def agg_allele_frequency(spark, d):
     return s.select("feat", F.round("af", 6).alias("af"), F.round(F.least("af", 1 - F.col("af")), 6).alias("maf"), "n0", "n1", "n2")
 
 
-@query()
+_COUNTS = f"(SELECT feat, count(*) FILTER (g = 1) AS het, least(count(*) FILTER (g = 0), count(*) FILTER (g = 2)) AS few, count(*) AS n FROM {standins.DOSE_SQL} GROUP BY feat)"
+_WAYS = f"(SELECT feat, het, n, 2 * few + het AS rare, unnest(range((2 * few + het) % 2, 2 * few + het + 1, 2)) AS k FROM {_COUNTS})"
+_LIKELY = f"(SELECT feat, het, k, k * ln(2) - lgamma(k + 1) - lgamma((rare - k) // 2 + 1) - lgamma(n - k - (rare - k) // 2 + 1) AS l FROM {_WAYS})"
+
+
+@query(f"""SELECT feat, round(least(1, sum(e) FILTER (e <= seen * (1 + 1e-9)) / sum(e)), 6) AS p_hwe FROM (
+    SELECT feat, exp(l - max(l) OVER w) AS e, exp(max(l) FILTER (k = het) OVER w - max(l) OVER w) AS seen FROM {_LIKELY} WINDOW w AS (PARTITION BY feat)) GROUP BY feat""")
 def agg_hardy_weinberg(spark, d):
     return quality.variant_summary(standins.dosages(Tables(spark, d)), "feat", hardy=True).select("feat", F.round("p_hwe", 6).alias("p_hwe"))
 
@@ -195,10 +201,10 @@ def agg_complete_rows(spark, d):
     return t.documents.join(t.labels, "doc_id", "left").agg(F.count_if(F.expr("quality is null or toxic is null")).alias("incomplete"), F.count_if(F.expr("quality is not null and toxic is not null")).alias("complete"))
 
 
-@query("SELECT side, k FROM (SELECT 'missing' AS side, c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000))")
+@query("SELECT side, k FROM (SELECT 'missing' AS side, c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000))")
 def agg_chunk_completeness(spark, d):
     t = Tables(spark, d)
-    return quality.complete(t.orders.where("o_totalprice > 300000").select(F.col("o_custkey").alias("k")), t.customer.select(F.col("c_custkey").alias("k")), "k").select("side", "k")
+    return quality.complete(t.orders.where("o_totalprice > 490000").select(F.col("o_custkey").alias("k")), t.customer.select(F.col("c_custkey").alias("k")), "k").select("side", "k")
 
 
 @query("""SELECT check_id, severity, round(observed, 6) AS observed, threshold, passed FROM (

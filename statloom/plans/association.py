@@ -220,8 +220,8 @@ def pca_component_count(spark, d):
 
 @query()
 def ld_prune(spark, d):
-    p = matrix.pack(standins.dosages(Tables(spark, d)), value="g").select((F.col("feat") % 2).alias("chr"), F.col("feat").alias("pos"), F.col("feat").alias("variant"), "values")
-    return kinship.prune_ld(p, r2=0.01)
+    g = standins.dosages(Tables(spark, d)).select((F.col("feat") % 2).alias("chr"), F.col("feat").alias("pos"), F.col("feat").alias("variant"), "iid", "g")
+    return kinship.prune_ld(g, r2=0.01)
 
 
 @query()

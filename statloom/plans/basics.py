@@ -149,9 +149,9 @@ def filter_duplicate_ids(spark, d):
     return align.exclude_mismatch(Tables(spark, d).orders.select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("v")), "k", "v")
 
 
-@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type, CAST(ts AS DATE) HAVING count(*) = 1")
+@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type, date_trunc('hour', ts) HAVING count(*) = 1")
 def filter_duplicate_positions(spark, d):
-    e = Tables(spark, d).events.withColumn("n", F.count("*").over(Window.partitionBy("user_id", "event_type", F.to_date("ts"))))
+    e = Tables(spark, d).events.withColumn("n", F.count("*").over(Window.partitionBy("user_id", "event_type", F.date_trunc("hour", "ts"))))
     return e.where("n = 1").select("user_id", "event_type", "event_id")
 
 
@@ -270,10 +270,10 @@ def set_intersect(spark, d):
     return t.customer.select(F.col("c_nationkey").alias("k")).intersect(t.supplier.select("s_nationkey"))
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 490000")
 def set_except(spark, d):
     t = Tables(spark, d)
-    return t.customer.select(F.col("c_custkey").alias("k")).subtract(t.orders.where("o_totalprice > 300000").select("o_custkey"))
+    return t.customer.select(F.col("c_custkey").alias("k")).subtract(t.orders.where("o_totalprice > 490000").select("o_custkey"))
 
 
 @query("SELECT r_regionkey, p_size, count(n) AS n FROM region CROSS JOIN (SELECT DISTINCT p_size FROM part WHERE p_size <= 5) LEFT JOIN (SELECT n_regionkey, n_nationkey AS n FROM nation) ON n_regionkey = r_regionkey AND n % 5 + 1 = p_size GROUP BY ALL")

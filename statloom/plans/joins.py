@@ -54,10 +54,10 @@ def align_right_coalesce(spark, d):
     return first.join(labels, "doc_id", "right").select("doc_id", F.coalesce("q2", "quality").alias("quality"))
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 490000)")
 def align_anti(spark, d):
     t = Tables(spark, d)
-    return t.customer.join(t.orders.where("o_totalprice > 300000"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
+    return t.customer.join(t.orders.where("o_totalprice > 490000"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
