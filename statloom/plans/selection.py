@@ -153,8 +153,8 @@ def lookup_by_name(spark, d):
 
 _INV = f"""(SELECT inversion, n_snps, iid, CASE WHEN top - mid > 0.01 THEN CASE WHEN nn = top THEN 0 WHEN ni = top THEN 1 ELSE 2 END END AS g FROM (
     SELECT *, greatest(nn, ni, ii) AS top, nn + ni + ii - greatest(nn, ni, ii) - least(nn, ni, ii) AS mid FROM (
-    SELECT feat // 3 AS inversion, feat // 3 % 8 + 1 AS n_snps, iid, max(x) FILTER (feat % 3 = 0) + CASE WHEN feat // 3 % 7 = 3 THEN 10 ELSE 0 END AS nn,
-    CASE WHEN feat // 3 % 5 = 4 AND iid % 3 = 0 THEN max(x) FILTER (feat % 3 = 2) ELSE max(x) FILTER (feat % 3 = 1) END AS ni, max(x) FILTER (feat % 3 = 2) AS ii FROM {LONG} WHERE feat < 63 GROUP BY ALL)))"""
+    SELECT inversion, inversion % 8 + 1 AS n_snps, iid, a + CASE WHEN inversion % 7 = 3 THEN 10 ELSE 0 END AS nn, CASE WHEN inversion % 5 = 4 AND iid % 3 = 0 THEN c ELSE b END AS ni, c AS ii FROM (
+    SELECT feat // 3 AS inversion, iid, max(x) FILTER (feat % 3 = 0) AS a, max(x) FILTER (feat % 3 = 1) AS b, max(x) FILTER (feat % 3 = 2) AS c FROM {LONG} WHERE feat < 63 GROUP BY ALL))))"""
 
 
 @query(f"""WITH s AS (SELECT inversion, max(n_snps) AS n_snps, count(g) AS n, min(g) AS lo, max(g) AS hi, avg(g) / 2 * 100 AS percent FROM {_INV} GROUP BY inversion)
