@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from statloom.llm import common
 
-#: Bytes of a range, bytes that a task reads at once, and the most that a record's header lines may take.
-SPLIT_BYTES, READ_BYTES, HEAD_BYTES = 4 << 20, 1 << 18, 1 << 16
+#: Bytes of a range, bytes that a task reads at once, bytes that are inflated at once, and the most that a record's header lines may take.
+SPLIT_BYTES, READ_BYTES, FEED_BYTES, HEAD_BYTES = 4 << 20, 1 << 18, 1 << 14, 1 << 16
 #: Fixed values of the formats: start of a gzip member that is deflated, WARC version, date that stands for an unknown one.
 MAGIC, VERSION, DATE = b"\x1f\x8b\x08", b"WARC/1.1", "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -111,13 +111,16 @@ def write_warc(pages: DataFrame, path: str, least: int = 0, payload: str = "html
 
 
 class Source:
-    """Bytes of an open file in pieces."""
+    """Bytes of an open file, read in pieces of READ_BYTES; the last piece is kept."""
 
     def __init__(self, file: pa.NativeFile, size: int) -> None:
-        self.file, self.size = file, size
+        self.file, self.size, self.start, self.piece = file, size, 0, b""
 
-    def at(self, start: int, length: int = READ_BYTES) -> bytes:
-        return self.file.read_at(max(0, min(length, self.size - start)), start)
+    def at(self, start: int, length: int = FEED_BYTES) -> bytes:
+        length = max(0, min(length, self.size - start))
+        if start < self.start or start + length > self.start + len(self.piece):
+            self.start, self.piece = start, self.file.read_at(min(max(length, READ_BYTES), self.size - start), start) if length else b""
+        return self.piece[start - self.start : start - self.start + length]
 
 
 def headers(lines: bytes) -> dict[str, str]:
@@ -133,7 +136,7 @@ def records(source: Source, start: int) -> Iterator[tuple[dict[str, str], bytes]
     """
     inflate, at, data = zlib.decompressobj(31), start, bytearray()
 
-    def more(limit: int = READ_BYTES) -> bool:
+    def more(limit: int = 1 << 18) -> bool:
         nonlocal at
         if inflate.eof:
             return False

@@ -288,5 +288,6 @@ def test_warc_of_nothing(pages, spark, tmp_path):
 def test_frequent_payload_is_dealt_out(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc.common, "HOT_ROWS", 20)
     df = spark.createDataFrame([(i, "u", "same" if i % 3 else str(i)) for i in range(300)], "page_id long, url string, html string")
-    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_warc(spark, p := f"file://{tmp_path}/w", warc.write_warc(df, p)).collect()}
+    path = f"file://{tmp_path}/w"
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_warc(spark, path, warc.write_warc(df, path)).collect()}
     assert got == {i: ("revisit", 1) if i % 3 and i != 1 else ("response", None) for i in range(300)}
