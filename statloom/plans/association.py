@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statloom.functions.stats import CHI2_MEDIAN, norm_quantile, norm_quantile_sql, p_from_f, p_from_t
-from statloom.operators import assoc, kinship, matrix, ranks
+from statloom.operators import assoc, encoding, kinship, matrix, ranks
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 
@@ -247,13 +246,12 @@ def knn_impute(spark, d):
 @query(f"SELECT variant, phenotype, round(sum(g * y), 5) AS s_gy FROM {PAIRS} GROUP BY ALL")
 def encode_invariant(spark, d):
     """Products of encoded genotypes and phenotypes: those of the plain ones."""
-    g, y, _ = _study(Tables(spark, d))
-    x = lambda df, k, v: matrix.pack(df, k, value=v).orderBy(k).collect()
-    a, b = x(g, "variant", "g"), x(y, "phenotype", "y")
-    e, f = assoc.encode(np.array([r["values"] for r in a], float), np.array([r["values"] for r in b], float).T, 11)
-    got = e @ f
-    rows = [(r["variant"], q["phenotype"], float(got[i, j])) for i, r in enumerate(a) for j, q in enumerate(b)]
-    return spark.createDataFrame(rows, "variant int, phenotype int, s double").select("variant", "phenotype", F.round("s", 5).alias("s_gy"))
+    t = Tables(spark, d)
+    g, y, _ = _study(t)
+    ids, secret = t.embeddings.select(F.col("vec_id").alias("iid")), b"of the stand-ins, not a secret"
+    codes = encoding.encode(g, ids, secret, False, row="variant", value="g").withColumnRenamed("code", "iid")
+    others = encoding.encode(y, ids, secret, True, row="phenotype", value="y").withColumnRenamed("code", "iid")
+    return assoc.pair_sums(codes, others, codes.select("iid").distinct()).select("variant", "phenotype", F.round("b4", 5).alias("s_gy"))
 
 
 @query()

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
-from statloom.operators import kinship, matrix, models
+from statloom.operators import kinship, matrix, models, relatives, reml, store, surrogate
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 from statloom.streaming import partials
@@ -13,8 +12,18 @@ from statloom.streaming import partials
 PAIRS, LONG = standins.PAIRS_SQL, standins.LONG_SQL
 
 
-def _spectrum(t: Tables):
-    return kinship.spectrum(matrix.standardised(standins.dosages(t), 0.0))
+#: Relationship from which stand-ins count as relatives: few variants make it noisy, and families stay small.
+FAMILY = 0.8
+#: Fixed effects of the adjusted models: leading genetic components.
+COMPONENTS = 20
+
+
+def _models(t: Tables):
+    """(0 and no covariates, 1 and genetic components) as (flag, covariates, their number)."""
+    ids = t.embeddings.select(F.col("vec_id").alias("iid"))
+    yield 0, ids.select("iid", F.expr("cast(array() as array<double>)").alias("c")), 0
+    pcs = store.keep(reml.genetic_components(reml.centred_standard(standins.dosages(t), 0.0), COMPONENTS), "genetic-components")
+    yield 1, pcs, COMPONENTS
 
 
 @query(f"SELECT variant, phenotype, regr_count(y, g) AS n, round(regr_slope(y, g), 6) AS beta FROM {PAIRS} GROUP BY ALL")
@@ -31,19 +40,82 @@ def glm_logistic(spark, d):
 
 @query()
 def mixed_model_scan(spark, d):
+    """Every variant with every trait under a sparse relationship, without and with genetic components."""
     t = Tables(spark, d)
-    ids, lam, vec = _spectrum(t)
-    y = {r["iid"]: r["y"] for r in standins.phenotypes(t).where("feat = 40").collect()}
-    g = standins.dosages(t).select(F.col("feat").alias("variant"), "iid", "g")
-    return models.mixed_scan(g, np.array([y[i] for i in ids]), ids, lam, vec).select("variant", F.round("beta", 5).alias("beta"), F.round("t", 4).alias("t"))
+    g, y = standins.dosages(t).select(F.col("feat").alias("variant"), "iid", "g"), standins.phenotypes(t).select(F.col("feat").alias("phenotype"), "iid", "y")
+    edges = store.keep(relatives.sparse(matrix.relationship(standins.dosages(t), 0.0), FAMILY), "sparse-relationship")
+    out = []
+    for adjusted, c, k in _models(t):
+        scan, _ = relatives.mixed_scan(g, y, c, k, edges)
+        out.append(scan.select(F.lit(adjusted).alias("adjusted"), "variant", "phenotype", F.round("beta", 5).alias("beta"), F.round("t", 4).alias("t")))
+    return out[0].unionByName(out[1])
 
 
 @query()
 def heritability(spark, d):
+    """The variants' share of every trait by REML, without and with genetic components."""
     t = Tables(spark, d)
-    ids, lam, vec = _spectrum(t)
-    y = standins.long(t).where("feat between 40 and 45").select("feat", "iid", "x")
-    return models.heritability(y, ids, lam, vec).select("feat", F.round("h2", 4).alias("h2"), F.round("lrt", 4).alias("lrt"))
+    y = standins.phenotypes(t).select("feat", "iid", F.col("y").alias("x"))
+    standard = store.keep(reml.centred_standard(standins.dosages(t), 0.0), "standardised")
+    out = [reml.heritability(standard, y, c, k, probes=10).select(F.lit(a).alias("adjusted"), "feat", F.round("h2", 4).alias("h2"), F.round("se", 4).alias("se"), F.round("lrt", 3).alias("lrt")) for a, c, k in _models(t)]
+    return out[0].unionByName(out[1])
+
+
+_Z = f"(SELECT iid, feat, (g - 2 * p) / sqrt(2 * p * (1 - p)) AS z FROM (SELECT iid, feat, g, avg(g) OVER (PARTITION BY feat) / 2 AS p FROM {standins.DOSE_SQL}) WHERE p > 0 AND p < 1)"
+_SPARSE = f"(SELECT a.iid AS i, b.iid AS j, sum(a.z * b.z) / (SELECT count(DISTINCT feat) FROM {_Z}) AS grm FROM {_Z} a JOIN {_Z} b ON a.feat = b.feat AND a.iid >= b.iid GROUP BY ALL HAVING a.iid = b.iid OR grm >= {FAMILY}e0)"
+
+
+def _sparse(t: Tables):
+    return relatives.sparse(matrix.relationship(standins.dosages(t), 0.0), FAMILY)
+
+
+@query(f"SELECT i, j, round(grm, 6) AS grm FROM {_SPARSE}")
+def sparse_relationship(spark, d):
+    return _sparse(Tables(spark, d)).select("i", "j", F.round("grm", 6).alias("grm"))
+
+
+@query(f"""WITH RECURSIVE e AS MATERIALIZED (SELECT i, j FROM {_SPARSE}), b AS (SELECT i, j FROM e UNION SELECT j, i FROM e),
+    r AS (SELECT i, i AS k FROM b UNION SELECT r.i, b.j FROM r JOIN b ON b.i = r.k)
+    SELECT i AS iid, min(k) AS family FROM r GROUP BY i""")
+def relative_families(spark, d):
+    return relatives.families(_sparse(Tables(spark, d)))
+
+
+@query()
+def unrelated_components(spark, d):
+    """Components of the samples without close kinship, and the others' projection."""
+    t = Tables(spark, d)
+    kin = store.keep(kinship.king(standins.dosages(t)), "kinship")
+    # few variants make kinship noisy: a bound that leaves a good part of the samples
+    split = store.keep(relatives.unrelated(kin, t.embeddings.select(F.col("vec_id").alias("iid")), 0.3, 0.3), "unrelated")
+    scores = relatives.pc_air(standins.dosages(t), split, 3, 0.0)
+    return scores.select("iid", "unrelated", F.transform("c", lambda v: F.round(F.abs(v), 4)).alias("c"))
+
+
+_ROLES = f"(SELECT iid, feat, x, label % 2 AS v, c FROM {LONG} l JOIN (SELECT iid AS id, x AS c FROM {LONG} WHERE feat = 63) k ON k.id = l.iid WHERE feat < 63)"
+
+
+def _ewas(t: Tables):
+    """(values, design): all features but the covariate, which is the last; the label's parity is the variable of interest."""
+    long = standins.long(t)
+    design = long.where("feat = 63").select("iid", F.array("x", (F.col("label") % 2).cast("double")).alias("c"))
+    return long.where("feat < 63").select("feat", "iid", "x"), design
+
+
+@query()
+def ewas_sva(spark, d):
+    values, design = _ewas(Tables(spark, d))
+    out = surrogate.ewas(values, design, 1, rounds=2)
+    return out.select("model", "feat", F.round("beta", 5).alias("beta"), F.round("t", 3).alias("t"))
+
+
+@query(f"""WITH s AS (SELECT feat, count(*) AS n, regr_sxx(x, v) AS vv, regr_sxy(x, v) AS vx, regr_syy(x, v) AS xx, regr_sxx(x, c) AS cc, regr_sxy(x, c) AS cx, regr_sxy(c, v) AS vc FROM {_ROLES} GROUP BY feat),
+    m AS (SELECT 'none' AS model, feat, vv AS a, vx AS b, xx AS q, n - 2 AS df FROM s UNION ALL SELECT 'all', feat, vv - vc * vc / cc, vx - vc * cx / cc, xx - cx * cx / cc, n - 3 FROM s)
+    SELECT model, feat, round(b / a, 6) AS beta, round(b / a / sqrt((q - b * b / a) / df / a), 4) AS t FROM m""")
+def ewas_covariates(spark, d):
+    """The association of every feature with the variable, without and with the covariate."""
+    values, design = _ewas(Tables(spark, d))
+    return surrogate.ewas(values, design, 1, number=0).where("model <> 'sva'").select("model", "feat", F.round("beta", 6).alias("beta"), F.round("t", 4).alias("t"))
 
 
 @query()

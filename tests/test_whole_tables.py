@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from statloom import plans
-from statloom.operators import kinship, matrix
+from statloom.operators import blocks, kinship, matrix
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,7 +25,7 @@ def grm(table):
 
 
 def test_relationship_by_blocks(spark, monkeypatch):
-    monkeypatch.setattr(matrix, "TILE", 7)
+    monkeypatch.setattr(blocks, "ROWS", 7)
     g = np.random.default_rng(5).integers(0, 3, (40, 20)).astype(float)
     dose = spark.createDataFrame([(i, j, float(g[i, j])) for i in range(40) for j in range(20)], "iid int, feat int, g double")
     p = g.mean(0) / 2
