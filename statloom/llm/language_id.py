@@ -15,13 +15,11 @@ from pyspark.sql import types as T
 
 from statloom.llm import common
 
-#: Bytes of text that one language's dictionary holds, and rows (of different texts) per language that may give them.
-DICTIONARY_BYTES, SAMPLE_ROWS = 112_640, 2_000
+#: Most bytes of text that one language's dictionary holds, and rows (of different texts) per language that may give them.
+DICTIONARY_BYTES, SAMPLE_ROWS = 32_768, 2_000
 #: Characters that one sampled row gives, from a place in its whole text that a hash picks, so that a few long ones don't fill
 #: a dictionary.
 PASSAGE = 512
-#: Rows of a language from which on the size of its dictionary counts for the others' (see learn).
-ENOUGH_ROWS = 20
 #: Least margin, as a share of the second smallest size, below which a prediction is rejected.
 MIN_MARGIN = 0.005
 LEVEL = 6
@@ -44,22 +42,21 @@ def learn(docs: DataFrame, seed: int = 0) -> dict[str, bytes]:
     hashes; copies count once.
 
     Rows with null text, text without letters or null lang aren't used. The dictionaries go to the driver: DICTIONARY_BYTES a
-    language. Lest a language gain by having more material, all are cut to the smallest of those of at least ENOUGH_ROWS
-    rows; a language with fewer rows keeps what it has and doesn't shrink the others.
+    language, a fixed size that some hundred texts fill, lest a language gain by having more material. A language with less
+    keeps what it has, which is to its own disadvantage alone: no dictionary depends on another's size.
     """
     labelled = docs.where("text is not null and lang is not null and text rlike '\\\\p{L}'").select("lang", "text", F.xxhash64("text", F.lit(seed)).alias("o"))
     # a cut on the hash by the number of distinct texts leaves about twice SAMPLE_ROWS a language, or all
-    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("o", 0.02).alias("n")).collect()
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2 * SAMPLE_ROWS / max(1, r["n"])))) for r in counts], F.lit(0.0)) if counts else F.lit(0.0)
+    counts = common.save(labelled.groupBy("lang").agg(F.approx_count_distinct("o", 0.02).alias("n")), "languages")
+    share = F.least(F.lit(1.0), F.lit(2.0 * SAMPLE_ROWS) / F.greatest(F.lit(1), "n"))
     start = F.pmod(F.xxhash64("o", F.lit(seed + 1)), F.greatest(F.lit(1), F.length("text") - PASSAGE + 1)) + 1
     passage = F.substring("text", start.cast("int"), F.lit(PASSAGE))
-    near = labelled.where(F.pmod("o", F.lit(1_000_003)) < share * 1_000_003).select("lang", "o", passage.alias("t"))
+    # a row a language: Spark broadcasts it if it is small, else passages are shuffled, not texts
+    near = labelled.select("lang", "o", passage.alias("t")).join(counts, "lang").where(F.pmod("o", F.lit(1_000_003)) < share * 1_000_003)
     found: dict[str, list[str]] = {}
     for r in near.groupBy("lang", "o").agg(F.min("t").alias("t")).groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("o", "t"))), 1, SAMPLE_ROWS).alias("s")).collect():
         found[r["lang"]] = [x["t"] for x in r["s"]]
-    out = {lang: " ".join(dict.fromkeys(filter(None, map(letters, texts)))).encode()[:DICTIONARY_BYTES] for lang, texts in sorted(found.items())}
-    least = min((len(out[x]) for x, texts in found.items() if len(texts) >= ENOUGH_ROWS), default=DICTIONARY_BYTES)
-    return {k: v[:least] for k, v in out.items()}
+    return {lang: " ".join(dict.fromkeys(filter(None, map(letters, texts)))).encode()[:DICTIONARY_BYTES] for lang, texts in sorted(found.items())}
 
 
 def letters(text: str) -> str:

@@ -662,11 +662,21 @@ def df_numbers(spark):
     return spark.createDataFrame([(i, x) for i, x in enumerate("½ ² ① Ⅷ ٣ _ 〇".split())], "doc_id long, text string")
 
 
-def test_a_small_language_leaves_the_others_alone(docs):
-    known = language_id.learn(docs)
-    more = docs.unionByName(docs.limit(1).selectExpr("-1L as doc_id", "'kaksi sanaa' as text", "'fi' as lang", "'s' as source", "11L as n_chars").select(docs.columns))
-    got = language_id.learn(more)
-    assert got.pop("fi") == b"kaksi sanaa" and got == known
+def test_a_small_language_leaves_the_others_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    known = language_id.learn(docs.where("not held_out"))
+
+    def accuracy(models):
+        got = language_id.language_id(docs.where("held_out"), models).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.avg(F.col("lang_rejected").cast("double"))).first()
+        return np.array(got)
+
+    before = accuracy(known)
+    for n in (1, 20, 200):
+        more = spark.range(n).selectExpr("-1 - id as doc_id", "concat('sana', repeat(char(97 + id % 26), 1 + id div 26)) as text", "'fi' as lang")
+        models = language_id.learn(docs.where("not held_out").select("doc_id", "text", "lang").unionByName(more))
+        assert models.pop("fi") and models == known
+        models = language_id.learn(docs.where("not held_out").select("doc_id", "text", "lang").unionByName(more))
+        assert np.abs(accuracy(models) - before).max() < 0.005
 
 
 def test_passages_come_from_whole_texts(spark):
