@@ -107,28 +107,37 @@ def fold(sketches: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
 
 
-def set_names(shingles: np.ndarray, seed: int) -> tuple[int, int]:
-    """Two signed 64-bit names of a set: the first is its identity, the second finds out whether two sets share the first."""
-    out = []
-    for i in (0, 1):
-        salted = common.mix(shingles + np.uint64(1 + 2 * seed + i) * _SEED)
-        parts = np.array([np.bitwise_xor.reduce(salted), np.sum(common.mix(salted), dtype=np.uint64), len(shingles)], np.uint64)
-        out.append(int(common.mix(common.WORDS.windows(parts, np.array([0]), np.array([3]))).view(np.int64)[0]))
-    return out[0], out[1]
+def _name(shingles: np.ndarray, salt: int) -> int:
+    salted = common.mix(shingles + np.uint64(1 + salt) * _SEED)
+    parts = np.array([np.bitwise_xor.reduce(salted), np.sum(common.mix(salted), dtype=np.uint64), len(shingles)], np.uint64)
+    return int(common.mix(common.WORDS.windows(parts, np.array([0]), np.array([3]))).view(np.int64)[0])
+
+
+def set_names(shingles: np.ndarray, shared: list[frozenset[int]], bits: int = 64) -> tuple[int, int]:
+    """Two signed 64-bit names of a set: the first is its identity, the second finds out whether two sets share the first.
+
+    shared: names that different sets have, then those that these sets have after another hash, and so on.
+    """
+    name = _name(shingles, 0) >> 64 - bits
+    for level, known in enumerate(shared):
+        if name in known:
+            name = _name(shingles, 2 + level)
+    return name, _name(shingles, 1)
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     return [common.shingle_set((t or "").encode(), n) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
 
 
-def members(docs: DataFrame, n: int, seed: int) -> DataFrame:
+def members(docs: DataFrame, n: int, shared: list[frozenset[int]]) -> DataFrame:
     """row, doc_id, size, set_id (null: no shingles), its check and sketch of every row of (row, doc_id, text)."""
+    name_bits = common.NAME_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.release()
         for batch in batches:
             sets = _sets(batch, n)
-            names = [set_names(s, seed) if len(s) else (None, None) for s in sets]
+            names = [set_names(s, shared, name_bits) if len(s) else (None, None) for s in sets]
             new = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array([x[i] for x in names], pa.int64()) for i in (0, 1)), pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], names=["row", "doc_id", "size", "set_id", "check", "sketch"])
 
@@ -189,8 +198,9 @@ def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | N
     yield None
 
 
-def shared_keys(docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
+def shared_keys(docs: DataFrame, n: int, percent: int, shared: list[frozenset[int]]) -> DataFrame:
     """(key, large, sets): the sets that share a key; see _lists."""
+    name_bits = common.NAME_BITS
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.release()
@@ -198,7 +208,7 @@ def shared_keys(docs: DataFrame, n: int, percent: int, seed: int) -> DataFrame:
         for batch in batches:
             keys, names = [], []
             for s in _sets(batch, n):
-                if len(s) and (i := set_names(s, seed)[0]) not in seen:  # a task sends a set's keys once
+                if len(s) and (i := set_names(s, shared, name_bits)[0]) not in seen:  # a task sends a set's keys once
                     seen.add(i)
                     keys.append(join.keys(s))
                     names.append(np.full(len(keys[-1]), i))
@@ -403,19 +413,21 @@ def links(near: DataFrame, percent: int) -> DataFrame:
 
 def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """row, doc_id, n_shingles, component_id, first of each row key of docs (row, doc_id, text)."""
-    for seed in range(8):
-        held = common.save(members(docs, n, seed), "members")
+    twice: list[frozenset[int]] = []
+    while True:
+        held = common.save(members(docs, n, twice), "members")
         found = held.where("set_id is not null").groupBy("set_id").agg(
             F.min("size").alias("size"), F.min("sketch").alias("sketch"), F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "row")).alias("least"),
             F.min("row").alias("row"), F.count("*").alias("n"), (F.min("check") != F.max("check")).alias("mixed"))
         sets = common.save(found, "sets")
-        if sets.where("mixed").isEmpty():
+        # names shared by chance, some n**2 / 2**65 of n sets: only their sets are named anew
+        mixed = frozenset(r["set_id"] for r in sets.where("mixed").select("set_id").collect())
+        if not mixed:
             break
+        twice.append(mixed)
         common.drop(held)
         common.drop(sets)
-    else:
-        raise RuntimeError("no seed tells the sets apart")
-    shared = common.save(shared_keys(docs, n, percent, seed), "keys")
+    shared = common.save(shared_keys(docs, n, percent, twice), "keys")
     edges = candidates(shared, sets, percent)
     common.drop(shared)
     near = components(edges).withColumnRenamed("node", "set_id").join(sets.select("set_id", "row").hint("merge"), "set_id")

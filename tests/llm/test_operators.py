@@ -405,6 +405,17 @@ def test_common_line_in_many_texts(spark, monkeypatch):
         assert got == brute_components(rows, n, percent)
 
 
+def test_names_that_different_ones_share(spark, docs, monkeypatch):
+    """With names of a few bits most are shared at first; those get others, and results stay."""
+    want = sorted(map(repr, ngram_join.ngram_join(docs.select("doc_id", "text")).select("doc_id", "n_shingles", "component_id").collect()))
+    gone = substring_dedup.substring_dedup(docs.select("doc_id", "text")).agg(F.sum("n_removed")).first()[0]
+    monkeypatch.setattr(common, "NAME_BITS", 5)
+    keyed = common.with_row_key(docs, "k")
+    assert keyed.select("k").distinct().count() == docs.select("doc_id", "text").distinct().count()
+    assert sorted(map(repr, ngram_join.ngram_join(docs.select("doc_id", "text")).select("doc_id", "n_shingles", "component_id").collect())) == want
+    assert substring_dedup.substring_dedup(docs.select("doc_id", "text")).agg(F.sum("n_removed")).first()[0] == gone
+
+
 def test_one_of_each(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(5, text), (None, text + " x"), (5, text + " y z"), (None, "other words that stand alone here"), (7, "short"), (8, None), (None, "short short short short short short")]
