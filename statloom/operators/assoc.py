@@ -239,6 +239,24 @@ def encode(genotypes: np.ndarray, phenotypes: np.ndarray, seed: int) -> tuple[np
             return genotypes @ f, np.linalg.solve(f, phenotypes)
 
 
+def swept(sums: blocks.Sums) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(beta, se, t) of a tile's pairs, freed of intercept and covariates; zeros where either side is constant beyond them."""
+    xy, xx, yy, xc, yc = sums.filled()
+    value, vector = np.linalg.eigh(sums.a / np.sqrt(np.outer(np.diag(sums.a), np.diag(sums.a)).clip(1e-300)))
+    good = value > 1e-10 * value.max()
+    scale = np.sqrt(np.diag(sums.a).clip(1e-300))
+    basis = vector[:, good] / np.sqrt(value[good]) / scale[:, None]  # basis @ basis.T inverts a
+    px, py = xc @ basis, yc @ basis
+    sxx, syy = xx - (px * px).sum(1), yy - (py * py).sum(1)
+    sxx, syy = np.where(sxx > 1e-12 * xx, sxx, 0.0)[:, None], np.where(syy > 1e-12 * yy, syy, 0.0)[None]
+    sxy = np.where((sxx > 0) & (syy > 0), xy - px @ py.T, 0.0)
+    df = sums.a[0, 0] - good.sum() - 1
+    beta = np.divide(sxy, sxx, out=np.zeros_like(sxy), where=sxx > 0)
+    rest = np.maximum(syy - beta * sxy, 1e-300)
+    se = np.sqrt(np.divide(rest, df * sxx, out=np.zeros_like(sxy), where=(sxx > 0) & (syy > 0) & (df > 0)))
+    return beta, se, np.divide(beta, se, out=np.zeros_like(sxy), where=se > 0)
+
+
 def scan(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame, min_abs_t: float | None = None) -> DataFrame:
     """variant, phenotype, beta, se, t of every pair in one cohort, freed of intercept and covariates, by tiles.
 
@@ -252,20 +270,7 @@ def scan(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame, min_a
     k = 1 + (first[0] if first else 0)
 
     def finish(sums: blocks.Sums) -> Iterator[pa.RecordBatch]:
-        xy, xx, yy, xc, yc = sums.filled()
-        value, vector = np.linalg.eigh(sums.a / np.sqrt(np.outer(np.diag(sums.a), np.diag(sums.a)).clip(1e-300)))
-        good = value > 1e-10 * value.max()
-        scale = np.sqrt(np.diag(sums.a).clip(1e-300))
-        basis = vector[:, good] / np.sqrt(value[good]) / scale[:, None]  # basis @ basis.T inverts a
-        px, py = xc @ basis, yc @ basis
-        sxx, syy = xx - (px * px).sum(1), yy - (py * py).sum(1)
-        sxx, syy = np.where(sxx > 1e-12 * xx, sxx, 0.0)[:, None], np.where(syy > 1e-12 * yy, syy, 0.0)[None]
-        sxy = np.where((sxx > 0) & (syy > 0), xy - px @ py.T, 0.0)
-        df = sums.a[0, 0] - good.sum() - 1
-        beta = np.divide(sxy, sxx, out=np.zeros_like(sxy), where=sxx > 0)
-        rest = np.maximum(syy - beta * sxy, 1e-300)
-        se = np.sqrt(np.divide(rest, df * sxx, out=np.zeros_like(sxy), where=(sxx > 0) & (syy > 0) & (df > 0)))
-        t = np.divide(beta, se, out=np.zeros_like(sxy), where=se > 0)
+        beta, se, t = swept(sums)
         keep = np.ones(t.shape, bool) if min_abs_t is None else np.abs(t) > min_abs_t
         yield from blocks.rows(sums, keep, {"beta": beta, "se": se, "t": t}, kinds, ("variant", "phenotype"))
 

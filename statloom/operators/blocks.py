@@ -100,11 +100,11 @@ def _tiles(long: DataFrame, row: str, col: str, value: str, r: int, c: int, deal
     return rows.groupBy("r", "c").applyInPandas(dense, f"r int, c int, names array<{kinds[row]}>, cols array<{kinds[col]}>, data binary")
 
 
-def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterator[pa.RecordBatch]], schema: str, names: tuple[str, str, str], others: tuple[str, str, str], covariates: DataFrame | None = None, k: int = 0, band: tuple[str, int] | None = None) -> DataFrame:
+def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterator[pa.RecordBatch]], schema: str, names: tuple[str, str, str], others: tuple[str, str, str], covariates: DataFrame | None = None, k: int = 0, band: tuple[str, int] | None = None, kernel: Callable[[int], Sums] = Sums) -> DataFrame:
     """What finish() makes of the Sums of each pair of row blocks. names and others: the (row, col, value) columns of either
     side; covariates: (col, c array of k), which also says which columns there are. band: a column of both sides that deals
     their rows into numbered blocks, and how much larger the right block's number may be than the left one's: only such pairs
-    meet then, without covariates."""
+    meet then, without covariates. kernel: what adds up the sums, of k covariates."""
     spark = left.sparkSession
     r, s = (1, 1) if band else (_count(left, names[0], ROWS), _count(right, others[0], ROWS))
     c = _count(left, names[1], COLS)
@@ -126,7 +126,7 @@ def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterato
     swept = covariates is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sums, held = None, Sums(k), {}
+        now, sums, held = None, kernel(k), {}
         for batch in batches:
             for at in range(batch.num_rows):
                 key = tuple(batch.column(i)[at].as_py() for i in range(3))
@@ -134,7 +134,7 @@ def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterato
                 if key[:2] != now:
                     if sums.rows:
                         yield from finish(sums)
-                    now, sums = key[:2], Sums(k)
+                    now, sums = key[:2], kernel(k)
                 if held.get("key") != key:
                     held = {"key": key}
                 data = np.frombuffer(batch.column(5)[at].as_buffer()).reshape(-1, len(cols))

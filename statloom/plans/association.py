@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statloom.functions.stats import CHI2_MEDIAN, norm_quantile, norm_quantile_sql, p_from_f, p_from_t
-from statloom.operators import assoc, encoding, kinship, matrix, ranks
+from statloom.operators import assoc, encoding, kinship, matrix, nulls, ranks, selection
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 
@@ -195,14 +195,55 @@ def vqtl_bf_p(spark, d):
     return r.select("variant", "phenotype", F.round(p_from_f("f", F.col("d1").cast("double"), F.col("d2").cast("double")), 8).alias("p"))
 
 
-@query()
+def _interaction_sql() -> str:
+    """Sums of products, the intercept and the moderator swept out, then the dosage."""
+    centred = lambda a, b: f"(sum({a} * {b}) - sum({a}) * sum({b}) / count(*))"
+    free = lambda a, b: f"({centred(a, b)} - {centred(a, 'i')} * {centred(b, 'i')} / {centred('i', 'i')})"
+    return f"""WITH m AS (SELECT iid, x AS i, x > (SELECT quantile_cont(x, 0.5) FROM {LONG} WHERE feat = 63) AS h FROM {LONG} WHERE feat = 63),
+        v AS (SELECT feat FROM (SELECT feat, h, avg(g) / 2 AS p FROM {DOSE} d JOIN m ON m.iid = d.iid GROUP BY ALL) GROUP BY feat HAVING min(least(p, 1 - p)) >= 0.05 AND count(*) = 2),
+        s AS (SELECT variant, phenotype, count(*) AS n, {free('g', 'g')} AS xx, {free('g', '(g * i)')} AS xh, {free('(g * i)', '(g * i)')} AS hh, {free('g', 'y')} AS xy, {free('(g * i)', 'y')} AS hy, {free('y', 'y')} AS rest, {centred('y', 'y')} AS yy
+              FROM {PAIRS} p JOIN m ON m.iid = p.iid JOIN v ON v.feat = p.variant GROUP BY ALL),
+        f AS (SELECT variant, phenotype, n, hh - xh * xh / xx AS hh, hy - xh * xy / xx AS hy, rest - xy * xy / xx AS rest, yy FROM s),
+        r AS (SELECT variant, phenotype, n, hy / hh AS beta, hh, rest - hy * hy / hh AS e, yy FROM f)
+        SELECT variant, phenotype, n, round(beta, 6) + 0e0 AS beta, round(CASE WHEN e > 1e-12 * yy THEN beta / sqrt(e / (n - 4) / hh) ELSE 0e0 END, 5) + 0e0 AS t FROM r"""
+
+
+def _interaction(t: Tables):
+    g, y, c = _study(t)
+    return nulls.interaction(g, y, c.select("iid", F.col("c")[0].alias("i")))
+
+
+@query(_interaction_sql())
 def interaction_scan(spark, d):
-    """y ~ g + c + g*c: the product is the tested term and g stands among the covariates, variant by variant."""
-    from statloom.operators.variance import interaction
+    """y ~ g + c + g*c: the product is the tested term and g stands among the covariates, pair by pair in the tiles."""
+    r = _interaction(Tables(spark, d))
+    return r.select("variant", "phenotype", "n", (F.round("beta", 6) + 0.0).alias("beta"), (F.round("t", 5) + 0.0).alias("t"))
+
 
+@query()
+def interaction_top(spark, d):
+    """Each phenotype's best interaction, freed of the number of independent tests on the variant's chromosome."""
     t = Tables(spark, d)
-    g, y, c = _study(t)
-    return interaction(g, y, c.select("iid", F.col("c")[0].alias("i"))).select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))
+    groups = standins.dosages(t).select(F.col("feat").alias("variant"), (F.col("feat") % 2).alias("chr")).distinct()
+    packed = matrix.pack(standins.dosages(t), value="g").select((F.col("feat") % 2).alias("chr"), F.col("feat").alias("pos"), "values")
+    tests = selection.effective_tests(packed, "chr")
+    r = nulls.top_interactions(_interaction(t), groups, tests)
+    return r.select("phenotype", "variant", F.round("t", 5).alias("t"), F.round("p", 8).alias("p"), "tests", F.round("p_adjusted", 7).alias("p_adjusted"))
+
+
+@query(f"SELECT variant, phenotype, round(gy / gg, 6) AS beta, round(gy / gg / sqrt((yy - gy * gy / gg) / (n - 3) / gg), 5) AS t FROM {_SWEPT} WHERE variant IN (SELECT feat FROM {DOSE} GROUP BY feat HAVING avg(g) / 2 > 0.45e0 AND avg(g) / 2 < 1 - 0.45e0 AND avg(g) / 2 <> 0.5e0)")
+def regression_maf(spark, d):
+    """The scan in one go, of variants within the limits of allele frequency."""
+    return nulls.regression(*_adjusted(Tables(spark, d)), maf=0.45).select("variant", "phenotype", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))
+
+
+@query()
+def permutation_scan(spark, d):
+    """Each phenotype's best variant, and how it compares with those of permuted phenotypes."""
+    g, y, c = _adjusted(Tables(spark, d))
+    n = c.count()
+    r = nulls.empirical_p(nulls.permutation_scan(g, y, c, 20, 7), n - 3)
+    return r.select("phenotype", "variant", F.round("t", 5).alias("t"), F.round("p", 8).alias("p"), F.round("p_perm", 6).alias("p_perm"), F.round("p_beta", 5).alias("p_beta"))
 
 
 @query()
