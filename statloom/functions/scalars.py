@@ -79,13 +79,21 @@ def sex_code(sex: Column) -> Column:
 
 
 def gaussian_crossing(m1: float, s1: float, w1: float, m2: float, s2: float, w2: float) -> float | None:
-    """Where two weighted normal densities cross between their means."""
+    """Where two weighted normal densities cross between their means, by halving; None if one is above the other at both."""
     import math
 
-    a = 1 / (2 * s2 * s2) - 1 / (2 * s1 * s1)
-    b = m1 / (s1 * s1) - m2 / (s2 * s2)
-    c = m2 * m2 / (2 * s2 * s2) - m1 * m1 / (2 * s1 * s1) + math.log(w1 * s2 / (w2 * s1))
-    roots = [-c / b] if a == 0 and b else []
-    if a and b * b >= 4 * a * c:
-        roots = [(-b + k * math.sqrt(b * b - 4 * a * c)) / (2 * a) for k in (1, -1)]
-    return next((r for r in roots if min(m1, m2) <= r <= max(m1, m2)), None)
+    def apart(x: float) -> float:
+        first, second = (math.log(w) - math.log(s) - ((x - m) / s) ** 2 / 2 for m, s, w in ((m1, s1, w1), (m2, s2, w2)))
+        return first - second
+
+    low, high = sorted((m1, m2))
+    at = apart(low)
+    if at * apart(high) > 0:
+        return None
+    for _ in range(200):
+        middle = (low + high) / 2
+        if (apart(middle) > 0) == (at > 0):
+            low = middle
+        else:
+            high = middle
+    return (low + high) / 2

@@ -108,6 +108,27 @@ def pool(studies: DataFrame) -> DataFrame:
     return studies.groupBy("variant", "phenotype").agg(F.sum("n").alias("n"), af.alias("af"), added("a_cov").alias("a_cov"), added("a_test").alias("a_test"), added("b_cov").alias("b_cov"), F.sum("c_yy").alias("c_yy"), F.sum("b4").alias("b4"))
 
 
+def pool_within(studies: DataFrame, k: int) -> DataFrame:
+    """Statistics of a pooled model with an intercept for each study, from rows of study(), one a study and pair, of k covariates.
+
+    The studies' intercepts make the system an arrowhead: each study's is eliminated from its own sums (their Schur
+    complement) before these are added up, so the solution has only the common covariates and the variant. n is less by
+    the number of studies, which leaves solve() the right degrees of freedom.
+    """
+    last = k + 1  # of a_test, the variant's square; entry 0 everywhere belongs to the intercept
+    n = F.col("n")
+    a = lambda i, j: F.col("a_cov")[i * (k + 1) + j]
+    g, y = F.col("a_test"), F.col("b_cov")
+    cc = [F.sum(a(i, j) - a(i, 0) * a(0, j) / n) for i in range(1, k + 1) for j in range(1, k + 1)]
+    gc = [F.sum(g[i] - g[0] * a(0, i) / n) for i in range(1, k + 1)]
+    cy = [F.sum(y[i] - y[0] * a(0, i) / n) for i in range(1, k + 1)]
+    of = lambda sums: F.array(*sums) if sums else F.expr("cast(array() as array<double>)")
+    af = F.sum(F.col("af") * n) / F.sum("n")
+    return studies.groupBy("variant", "phenotype").agg(
+        (F.sum("n") - F.count("*")).alias("n"), af.alias("af"), of(cc).alias("a_cov"), F.array(*gc, F.sum(g[last] - g[0] * g[0] / n)).alias("a_test"),
+        of(cy).alias("b_cov"), F.sum(F.col("c_yy") - y[0] * y[0] / n).alias("c_yy"), F.sum(F.col("b4") - g[0] * y[0] / n).alias("b4"))
+
+
 def select_covariates(stats: DataFrame, wanted: list[int], k: int) -> DataFrame:
     """Statistics of a model with the wanted covariates (numbered from 1) of k; the intercept always stays."""
     if any(i < 1 or i > k for i in wanted):

@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statloom.functions.scalars import gaussian_crossing
 from statloom.functions.stats import norm_two_sided, t_two_sided
+from statloom.operators import numbering
 from statloom.operators.kinship import fit_polygenic
 
 
@@ -155,15 +157,67 @@ def density(df: DataFrame, x: str, *by: str, points: int = 64) -> DataFrame:
 
 
 def permute(df: DataFrame, column: str, key: str, seed: int) -> DataFrame:
-    """df with column's values dealt anew over the rows by a seeded order of the key."""
-    from pyspark.sql import Window
-
-    # ranks over the samples of one table: rows of samples, not of results
-    place = df.select(key, F.row_number().over(Window.orderBy(key)).alias("__n"))
-    drawn = df.select(F.row_number().over(Window.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)).alias("__n"), F.col(column).alias("__v"))
+    """df with column's values dealt anew over the rows by a seeded order of the key, which is unique."""
+    place = numbering.numbered(df.select(key), key, name="__n")
+    drawn = numbering.numbered(df.select(key, F.col(column).alias("__v")), F.xxhash64(F.col(key), F.lit(seed)), key, name="__n").drop(key)
     return df.join(place, key).join(drawn, "__n").withColumn(column, F.col("__v")).drop("__n", "__v")
 
 
+#: Bins of a group's range in which mixture() counts values.
+BINS = 4_096
+
+
+def mixture(df: DataFrame, x: str, *by: str, rounds: int = 500) -> DataFrame:
+    """by, w1, m1, s1, w2, m2, s2, cut, dip: of each group a mixture of two normal densities, the smaller mean first; where their
+    weighted densities cross between the means (null if they don't); where a kernel estimate is least between them.
+
+    Values are counted once, in BINS bins of their group's range, with each bin's sum and sum of squares; expectation
+    maximisation from the quartiles runs over these bins, all groups side by side, and what a task holds doesn't grow
+    with the rows. Null and NaN values don't count; groups of fewer than two different values are left out.
+    """
+    keys = list(by)
+    rows = df.where(F.col(x).isNotNull() & ~F.isnan(x)).select(*keys, F.col(x).cast("double").alias("__x"))
+    rows = rows if keys else rows.withColumn("__all", F.lit(0))
+    on = keys or ["__all"]
+    ends = rows.groupBy(*on).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi")).where("__lo < __hi")
+    cell = F.least(F.floor((F.col("__x") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * BINS), F.lit(BINS - 1)).cast("int")
+    bins = rows.join(ends, on).groupBy(*on, cell.alias("__bin")).agg(F.count("*").alias("__n"), F.sum("__x").alias("__s"), F.sum(F.col("__x") ** 2).alias("__q"))
+
+    def fit(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("__bin")
+        n, s, q = (part[c].to_numpy(float) for c in ("__n", "__s", "__q"))
+        at, total = s / n, n.sum()
+        spread = np.maximum(q / n - at * at, 0.0)  # variance within a bin
+        share = (np.cumsum(n) - n / 2) / total
+        mean = np.interp([0.25, 0.75], share, at)
+        sd = np.full(2, np.sqrt(max(q.sum() / total - (s.sum() / total) ** 2, 0.0)) + 1e-9)
+        w = np.full(2, 0.5)
+        for _ in range(rounds):
+            d = w * np.exp(-0.5 * ((at[:, None] - mean) / sd) ** 2) / sd
+            r = n[:, None] * d / np.maximum(d.sum(1, keepdims=True), 1e-300)
+            own = np.maximum(r.sum(0), 1e-300)
+            new = (r * at[:, None]).sum(0) / own
+            sd, w = np.sqrt((r * ((at[:, None] - new) ** 2 + spread[:, None])).sum(0) / own) + 1e-9, own / total
+            done = np.abs(new - mean).max() < 1e-10
+            mean = new
+            if done:
+                break
+        o = np.argsort(mean, kind="stable")
+        w, mean, sd = w[o], mean[o], sd[o]
+        width = 0.9 * min(np.sqrt(max(q.sum() / total - (s.sum() / total) ** 2, 0.0) * total / max(total - 1, 1)), (np.interp(0.75, share, at) - np.interp(0.25, share, at)) / 1.34 or np.inf) * total**-0.2
+        grid = np.linspace(mean[0], mean[1], 513)
+        low = None
+        if mean[1] > mean[0] and width > 0:
+            low = float(grid[np.argmin((np.exp(-0.5 * ((grid[:, None] - at) / width) ** 2) * n).sum(1))])
+        out = {c: part[c].iloc[:1].tolist() for c in on} | {f"{c}{i + 1}": [float(v[i])] for i in (0, 1) for c, v in (("w", w), ("m", mean), ("s", sd))}
+        cut = gaussian_crossing(*(float(v) for i in (0, 1) for v in (mean[i], sd[i], w[i])))
+        return pd.DataFrame(out | {"cut": [cut], "dip": [low]})
+
+    kinds = dict(bins.dtypes)
+    text = ", ".join([*[f"`{c}` {kinds[c]}" for c in on], *[f"{c}{i} double" for i in (1, 2) for c in "wms"], "cut double", "dip double"])
+    return bins.groupBy(*on).applyInPandas(fit, text).drop("__all")
+
+
 def quantile_normalise(long: DataFrame) -> DataFrame:
     """(iid, feat, x): each sample's k-th smallest value becomes the mean of all samples' k-th smallest."""
     from pyspark.sql import Window

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statloom.functions.stats import CHI2_MEDIAN, norm_quantile, norm_quantile_sql, p_from_f, p_from_t
-from statloom.operators import assoc, encoding, kinship, matrix, nulls, ranks, selection
+from statloom.operators import assoc, encoding, kinship, matrix, nulls, numbering, ranks, selection
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 
@@ -93,6 +92,24 @@ def solve_pooled_cohorts(spark, d):
     return assoc.solve(assoc.pool(both)).select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"))
 
 
+_WITHIN = f"""(SELECT variant, phenotype, sum(n) AS n, count(*) AS studies, sum(gg) AS gg, sum(gy) AS gy, sum(yy) AS yy, sum(gc) AS gc, sum(cy) AS cy, sum(cc) AS cc FROM (
+    SELECT label, variant, phenotype, count(*) AS n, regr_sxx(y, g) AS gg, regr_sxy(y, g) AS gy, regr_syy(y, g) AS yy, regr_sxy(c, g) AS gc, regr_sxy(y, c) AS cy, regr_sxx(y, c) AS cc
+    FROM {PAIRS} p JOIN {_COV} v ON p.iid = v.iid WHERE phenotype <> 63 GROUP BY ALL) GROUP BY ALL)"""
+_WITHIN_FIT = f"(SELECT variant, phenotype, n, n - studies - 2 AS df, gg - gc * gc / cc AS a, gy - gc * cy / cc AS b, yy - cy * cy / cc AS q FROM {_WITHIN})"
+
+
+@query(f"SELECT variant, phenotype, CAST(df AS DOUBLE) AS df, round(b / a, 6) AS beta, round(b / a / sqrt((q - b * b / a) / df / a), 5) AS t FROM {_WITHIN_FIT}")
+def solve_study_intercepts(spark, d):
+    """The pooled model with an intercept for each study."""
+    t = Tables(spark, d)
+    parts = [assoc.study(*_adjusted(t, k), 1) for k in range(10)]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    r = assoc.solve(assoc.pool_within(both, 1))
+    return r.select("variant", "phenotype", "df", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))
+
+
 _COHORT = f"(SELECT label, variant, phenotype, count(*) AS n, regr_slope(y, g) AS beta, abs(regr_slope(y, g)) / sqrt(regr_r2(y, g) * (count(*) - 2) / (1 - regr_r2(y, g))) AS se FROM {PAIRS} GROUP BY ALL)"
 _META = f"(SELECT variant, phenotype, sum(n) AS n, count(*) AS k, sum(beta / (se * se)) / sum(1 / (se * se)) AS beta, sqrt(1 / sum(1 / (se * se))) AS se, sum(beta * beta / (se * se)) - pow(sum(beta / (se * se)), 2) / sum(1 / (se * se)) AS q FROM {_COHORT} WHERE se > 0 GROUP BY ALL)"
 
@@ -126,9 +143,8 @@ def lambda_median(spark, d):
 
 @query(f"SELECT round(sum(e * o) / sum(e * e), 6) AS lambda FROM (SELECT pow(q, 2) AS e, chi2 AS o FROM (SELECT chi2, {norm_quantile_sql('p')} AS q FROM (SELECT chi2, 0.5e0 + (n - 0.5e0) / t / 2 AS p FROM (SELECT chi2, row_number() OVER (ORDER BY chi2) AS n, count(*) OVER () AS t FROM {_CHI2}))))")
 def lambda_regression(spark, d):
-    w = Window.orderBy("chi2")
-    c = _chi2(Tables(spark, d)).select("chi2", F.row_number().over(w).alias("n"), F.count("*").over(Window.partitionBy()).alias("t"))
-    c = c.withColumn("p", 0.5 + (F.col("n") - 0.5) / F.col("t") / 2).withColumn("e", norm_quantile("p") ** 2)
+    c = numbering.numbered(_chi2(Tables(spark, d)), "chi2")
+    c = c.withColumn("p", 0.5 + (F.col("n") - 0.5) / F.lit(c.count()) / 2).withColumn("e", norm_quantile("p") ** 2)
     return assoc.lambda_regression(c, "e", "chi2").select(F.round("lambda", 6).alias("lambda"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statloom.functions import scalars
-from statloom.operators import align
+from statloom.operators import align, numbering
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 
@@ -29,10 +29,21 @@ def scan_allele_dictionary(spark, d):
 
 @query("SELECT p_partkey, p_name FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS n FROM part) WHERE n BETWEEN 11 AND 60")
 def scan_row_range(spark, d):
-    p = Tables(spark, d).part.withColumn("n", F.row_number().over(Window.orderBy("p_partkey")))
+    p = numbering.numbered(Tables(spark, d).part.select("p_partkey", "p_name"), "p_partkey")
     return p.where("n between 11 and 60").select("p_partkey", "p_name")
 
 
+#: Codes of the second load follow those of the first; both in the values' own order.
+@query("""WITH a AS (SELECT p_brand AS allele, dense_rank() OVER (ORDER BY p_brand) - 1 AS code FROM part WHERE p_brand IS NOT NULL GROUP BY 1),
+    b AS (SELECT p_type AS allele, dense_rank() OVER (ORDER BY p_type) + (SELECT max(code) FROM a) AS code FROM part WHERE p_type IS NOT NULL AND p_type NOT IN (SELECT allele FROM a) GROUP BY 1)
+    SELECT allele, CAST(code AS BIGINT) AS code FROM a UNION ALL SELECT allele, CAST(code AS BIGINT) FROM b""")
+def allele_codes(spark, d):
+    """A dictionary of two loads, the second appended without renumbering."""
+    p = Tables(spark, d).part
+    first = numbering.codes(p.select(F.col("p_brand").alias("allele")), "allele")
+    return numbering.codes(p.select(F.col("p_type").alias("allele")), "allele", first)
+
+
 @query(f"SELECT iid, feat, round(x, 6) AS x FROM {standins.LONG_SQL}")
 def scan_matrix_long(spark, d):
     return standins.long(Tables(spark, d)).select("iid", "feat", F.round("x", 6).alias("x"))
@@ -212,7 +223,7 @@ def filter_strata(spark, d):
 def filter_feature_chunks(spark, d):
     p = Tables(spark, d).part
     t = p.count()
-    return p.withColumn("n", F.row_number().over(Window.orderBy("p_partkey"))).select("p_partkey", F.ceil(F.col("n") / F.ceil(F.lit(t / 10.0))).cast("long").alias("chunk"))
+    return numbering.numbered(p.select("p_partkey"), "p_partkey").select("p_partkey", F.ceil(F.col("n") / F.ceil(F.lit(t / 10.0))).cast("long").alias("chunk"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey = 7")
@@ -292,7 +303,8 @@ def set_transpose(spark, d):
 
 @query("SELECT row_number() OVER (ORDER BY c_mktsegment, c_acctbal DESC, c_custkey) AS n, c_custkey FROM customer")
 def sort_multi_key(spark, d):
-    return Tables(spark, d).customer.select(F.row_number().over(Window.orderBy("c_mktsegment", F.desc("c_acctbal"), "c_custkey")).cast("long").alias("n"), "c_custkey")
+    c = Tables(spark, d).customer.select("c_mktsegment", "c_acctbal", "c_custkey")
+    return numbering.numbered(c, "c_mktsegment", F.desc("c_acctbal"), "c_custkey").select("n", "c_custkey")
 
 
 @query(f"SELECT feat, round(var_samp(x), 8) AS v FROM {standins.LONG_SQL} GROUP BY feat ORDER BY var_samp(x) DESC, feat LIMIT 20")
@@ -371,7 +383,7 @@ def fn_date_gate(spark, d):
 
 @query("SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_brand) AS INTEGER) AS level FROM part")
 def fn_factor_codes(spark, d):
-    return Tables(spark, d).part.select("p_partkey", F.dense_rank().over(Window.orderBy("p_brand")).alias("level"))
+    return numbering.factor_levels(Tables(spark, d).part.select("p_partkey", "p_brand"), "p_brand").select("p_partkey", F.col("level").cast("int").alias("level"))
 
 
 @query("SELECT p_partkey, (p_size * 1000 + p_partkey % 100) >= 10050 AS ok FROM part")

@@ -131,6 +131,13 @@ def density_by_sex(spark, d):
     return models.density(e, "x", "sex").select("sex", F.round("at", 6).alias("at"), F.round("density", 5).alias("density"))
 
 
+@query()
+def mixture_by_sex(spark, d):
+    """Two components of the first feature by the label's parity, and where to cut between them."""
+    e = Tables(spark, d).embeddings.select((F.col("label") % 2).alias("sex"), F.col("embedding")[0].cast("double").alias("x"))
+    return models.mixture(e, "x", "sex").select("sex", *[F.round(f"{c}{i}", 4).alias(f"{c}{i}") for i in (1, 2) for c in "wms"], F.round("cut", 4).alias("cut"), F.round("dip", 4).alias("dip"))
+
+
 @query(f"SELECT round(sum(x), 5) AS total, count(*) AS n FROM {LONG} WHERE feat = 0")
 def permutation_null(spark, d):
     """Permuted values: their sum and number stay."""

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statloom.functions.stats import norm_quantile_sql
-from statloom.operators import ranks
+from statloom.operators import numbering, ranks
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 
@@ -90,8 +90,7 @@ def plotting_positions(spark, d):
 @query(f"SELECT feat, round(sum(v) OVER (ORDER BY v DESC, feat ROWS UNBOUNDED PRECEDING) / sum(v) OVER (), 6) AS share FROM (SELECT feat, var_samp(x) AS v FROM {LONG} GROUP BY feat)")
 def cum_share(spark, d):
     v = standins.long(Tables(spark, d)).groupBy("feat").agg(F.var_samp("x").alias("v"))  # a row a feature
-    w = Window.orderBy(F.desc("v"), "feat").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return v.select("feat", F.round(F.sum("v").over(w) / F.sum("v").over(Window.partitionBy()), 6).alias("share"))
+    return numbering.running_sum(v, "v", F.desc("v"), "feat").select("feat", F.round("share", 6).alias("share"))
 
 
 @query(f"SELECT feat, x >= (min(x) OVER w + max(x) OVER w) / 2 AS above, iid FROM {LONG} WINDOW w AS (PARTITION BY feat)")
