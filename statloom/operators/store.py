@@ -16,8 +16,7 @@ _kept: dict[int, tuple[DataFrame, str]] = {}
 def keep(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFrame:
     """df written as Parquet below the checkpoint folder and read back; `done` are kept tables that nothing needs after it."""
     spark = df.sparkSession
-    shared(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     out = spark.read.parquet(path)
     _kept[id(out)] = (out, path)
@@ -26,6 +25,12 @@ def keep(df: DataFrame, name: str, done: Iterable[DataFrame] = ()) -> DataFrame:
     return out
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    shared(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def drop(kept: DataFrame) -> None:
     """Remove what keep() has written; other tables are left alone."""
     found = _kept.pop(id(kept), None)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statloom.operators import kinship, matrix, models, relatives, reml, store, surrogate
+from statloom.functions.stats import norm_quantile_sql
+from statloom.operators import adjustment, assoc, kinship, matrix, models, normality, relatives, reml, store, surrogate
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
+from statloom.sources import packed
 from statloom.streaming import partials
 
 PAIRS, LONG = standins.PAIRS_SQL, standins.LONG_SQL
@@ -131,6 +133,63 @@ def density_by_sex(spark, d):
     return models.density(e, "x", "sex").select("sex", F.round("at", 6).alias("at"), F.round("density", 5).alias("density"))
 
 
+#: Clocks over the features: name, features asked for, least number and share of them that must be there, whether in years.
+_CLOCKS = (("first", range(40), 1, 0.0, True), ("second", [*range(46), *range(100, 130)], 50, 0.0, False), ("third", [*range(50), *range(100, 110)], 1, 0.7, False))
+_WEIGHTS = " UNION ALL ".join(f"SELECT '{n}' AS clock, unnest({list(f)}) AS feat, {least} AS least, {share}e0 AS share, {years} AS years" for n, f, least, share, years in _CLOCKS)
+_PRED = f"""(SELECT clock, iid, CASE WHEN any_value(years) THEN CASE WHEN s < 0 THEN 21 * exp(s) - 1 ELSE 21 * s + 20 END ELSE s END AS pred FROM (
+    SELECT clock, iid, sum(((feat * 37) % 11 - 5) / 10e0 * x) AS s, any_value(years) AS years, any_value(least) AS least, any_value(share) AS share, count(*) AS found FROM ({_WEIGHTS}) w JOIN {LONG} l USING (feat) GROUP BY ALL) f
+    WHERE found >= least AND found >= share * (SELECT count(*) FROM ({_WEIGHTS}) a WHERE a.clock = f.clock) GROUP BY clock, iid, s)"""
+_ABOUT = f"(SELECT a.iid, a.x AS c1, b.x AS c2 FROM {LONG} a JOIN {LONG} b ON b.iid = a.iid AND b.feat = 61 WHERE a.feat = 60)"
+
+
+@query(f"""WITH p AS (SELECT clock, p.iid, pred, c1, c2 FROM {_PRED} p JOIN {_ABOUT} a ON a.iid = p.iid),
+    s AS (SELECT clock, avg(pred) AS m, avg(c1) AS m1, avg(c2) AS m2, regr_sxx(pred, c1) AS a, regr_sxx(pred, c2) AS b, regr_sxy(c2, c1) AS ab, regr_sxy(pred, c1) AS ya, regr_sxy(pred, c2) AS yb FROM p GROUP BY clock),
+    e AS (SELECT p.clock, iid, pred, pred - m - ya / a * (c1 - m1) AS e1, pred - m - (ya * b - yb * ab) / (a * b - ab * ab) * (c1 - m1) - (yb * a - ya * ab) / (a * b - ab * ab) * (c2 - m2) AS e2 FROM p JOIN s ON s.clock = p.clock)
+    SELECT clock, iid, round(pred, 5) AS pred, round(e1 / stddev_samp(e1) OVER w, 5) AS pred_sd, round(e2 / stddev_samp(e2) OVER w, 5) AS pred_ss_sd FROM e WINDOW w AS (PARTITION BY clock)""")
+def clock_acceleration(spark, d):
+    """Ages by three clocks, of which one finds too few of its features, and their accelerations without and with smoking."""
+    long = standins.long(Tables(spark, d)).select("feat", "iid", "x")
+    pred = None
+    for name, feats, least, share, years in _CLOCKS:
+        w = spark.createDataFrame([(f, ((f * 37) % 11 - 5) / 10) for f in feats], "feat int, w double")
+        p = adjustment.clock(long, w, 0.0, least, share, years).select(F.lit(name).alias("clock"), "iid", "pred")
+        pred = p if pred is None else pred.unionByName(p)
+    about = long.where("feat in (60, 61)").groupBy("iid").agg(F.transform(F.sort_array(F.collect_list(F.struct("feat", "x"))), lambda s: s["x"]).alias("c"))
+    r = adjustment.acceleration(pred, about, 1)
+    return r.select("clock", "iid", *[F.round(c, 5).alias(c) for c in ("pred", "pred_sd", "pred_ss_sd")])
+
+
+@query(f"SELECT l.iid, l.feat, round(x - a - b * c, 6) AS x FROM {LONG} l JOIN (SELECT iid, x AS c FROM {LONG} WHERE feat = 63) v ON l.iid = v.iid JOIN (SELECT feat, regr_intercept(x, c) AS a, regr_slope(x, c) AS b FROM {LONG} l JOIN (SELECT iid, x AS c FROM {LONG} WHERE feat = 63) v ON l.iid = v.iid GROUP BY feat) f ON f.feat = l.feat WHERE l.feat < 63")
+def adjust_untransformed(spark, d):
+    t = Tables(spark, d)
+    values = standins.long(t).where("feat < 63").select("feat", "iid", "x")
+    return adjustment.adjust(values, standins.covariates(t), 1, "untransformed").select("iid", "feat", F.round("x", 6).alias("x"))
+
+
+@query()
+def adjust_twice(spark, d):
+    """Transformed, freed of the covariate, then of leading components without being transformed before."""
+    t = Tables(spark, d)
+    first = store.keep(adjustment.adjust(standins.long(t).where("feat < 63").select("feat", "iid", "x"), standins.covariates(t), 1, "transformed"), "adjusted")
+    pcs = store.keep(reml.genetic_components(first, 5), "components")
+    return adjustment.adjust(first, pcs, 5, "transformed", again=True).select("iid", "feat", F.round("x", 4).alias("x"))
+
+
+@query(f"SELECT feat, count(*) AS n, round(pow(sum(a * x), 2) / sum(pow(x - mean, 2)), 6) AS w FROM (SELECT *, CASE WHEN i = n THEN l1 WHEN i = n - 1 THEN l2 WHEN i = 1 THEN -l1 WHEN i = 2 THEN -l2 ELSE m * sqrt((1 - 2 * l1 * l1 - 2 * l2 * l2) / (mm - 2 * m1 * m1 - 2 * m2 * m2)) END AS a FROM (SELECT *, m1 / sqrt(mm) + 0.221157e0 * u - 0.147981e0 * u * u - 2.071190e0 * pow(u, 3) + 4.434685e0 * pow(u, 4) - 2.706056e0 * pow(u, 5) AS l1, m2 / sqrt(mm) + 0.042981e0 * u - 0.293762e0 * u * u - 1.752461e0 * pow(u, 3) + 5.682633e0 * pow(u, 4) - 3.582633e0 * pow(u, 5) AS l2 FROM (SELECT *, sum(m * m) OVER v AS mm, max(m) FILTER (i = n) OVER v AS m1, max(m) FILTER (i = n - 1) OVER v AS m2, 1 / sqrt(n) AS u FROM (SELECT *, {norm_quantile_sql('q')} AS m FROM (SELECT *, (i - 0.375e0) / (n + 0.25e0) AS q FROM (SELECT feat, x, row_number() OVER (PARTITION BY feat ORDER BY x) AS i, count(*) OVER (PARTITION BY feat) AS n, avg(x) OVER (PARTITION BY feat) AS mean FROM {LONG}))) WINDOW v AS (PARTITION BY feat)))) GROUP BY feat")
+def shapiro_wilk(spark, d):
+    return normality.shapiro_wilk(standins.long(Tables(spark, d)), "x", "feat").select("feat", "n", F.round("w", 6).alias("w"))
+
+
+@query(f"SELECT phenotype, variant, round(CAST(CAST(beta AS FLOAT) AS DOUBLE), 4) AS beta, row_number() OVER (ORDER BY phenotype, variant) - 1 AS n FROM (SELECT variant, phenotype, regr_slope(y, g) AS beta FROM {PAIRS} GROUP BY ALL)")
+def packed_results(spark, d):
+    """The scan's results written as packed files and read back by byte ranges."""
+    t = Tables(spark, d)
+    g, y = standins.dosages(t).select(F.col("feat").alias("variant"), "iid", "g"), standins.phenotypes(t).select(F.col("feat").alias("phenotype"), "iid", "y")
+    path = store.new_path(spark, "packed")
+    packed.write_packed(assoc.scan_simple(g, y), path)
+    return packed.read_packed(spark, path).select("phenotype", "variant", F.round(F.col("beta").cast("double"), 4).alias("beta"), "n")
+
+
 @query()
 def mixture_by_sex(spark, d):
     """Two components of the first feature by the label's parity, and where to cut between them."""
