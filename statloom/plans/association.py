@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statloom.functions.stats import CHI2_MEDIAN, norm_quantile, norm_quantile_sql, p_from_f, p_from_t
-from statloom.operators import assoc, encoding, kinship, matrix, nulls, numbering, ranks, selection
+from statloom.operators import assoc, encoding, kinship, matrix, nulls, numbering, ranks, reml, selection, store
 from statloom.plans import standins
 from statloom.plans.catalog import Tables, query
 
@@ -264,13 +264,14 @@ def permutation_scan(spark, d):
 
 @query()
 def pca_scores(spark, d):
-    scores, _ = matrix.principal_components(standins.long(Tables(spark, d)), 3)
+    scores, _ = matrix.leading_components(standins.long(Tables(spark, d)), 3)
     return scores.select("iid", "pc", F.round("score", 5).alias("score"))
 
 
 @query()
 def pca_component_count(spark, d):
-    _, shares = matrix.principal_components(standins.long(Tables(spark, d)), 1)
+    """How many components are kept of those whose shares were looked at."""
+    _, shares = matrix.leading_components(standins.long(Tables(spark, d)), 20)
     return spark.createDataFrame([(matrix.component_count(shares), len(shares))], "components int, of int")
 
 
@@ -313,10 +314,12 @@ def encode_invariant(spark, d):
 
 @query()
 def polygenic_residuals(spark, d):
+    """Every trait freed of the samples' relationship."""
     t = Tables(spark, d)
-    y = standins.long(t).where("feat between 32 and 35").select("feat", "iid", "x")
-    ids, lam, vec = kinship.spectrum(matrix.standardised(standins.dosages(t), 0.0))
-    return kinship.polygenic_residuals(y, ids, lam, vec).select("feat", "iid", F.round("resid", 5).alias("resid"), F.round("h2", 4).alias("h2"))
+    y = standins.phenotypes(t).select("feat", "iid", F.col("y").alias("x"))
+    none = t.embeddings.select(F.col("vec_id").alias("iid"), F.expr("cast(array() as array<double>)").alias("c"))
+    standard = store.keep(reml.centred_standard(standins.dosages(t), 0.0), "standardised")
+    return reml.decorrelated(standard, y, none, 0, probes=10).select("feat", "iid", F.round("resid", 5).alias("resid"), F.round("h2", 4).alias("h2"))
 
 
 @query()

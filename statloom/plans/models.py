@@ -219,5 +219,5 @@ def stream_partials_batch(spark, d):
 @query()
 def normalised_traits(spark, d):
     e = Tables(spark, d).embeddings
-    wide = e.select(F.col("vec_id").alias("iid"), (F.col("label") % 2).alias("sex"), F.col("embedding")[0].cast("double").alias("age"), F.col("embedding")[1].cast("double").alias("smoking"), F.posexplode(F.slice("embedding", 3, 6)).alias("trait", "y"))
+    wide = e.select(F.col("vec_id").alias("iid"), (F.col("label") % 2).alias("sex"), F.col("embedding")[0].cast("double").alias("age"), F.col("embedding")[1].cast("double").alias("smoking"), F.posexplode(F.slice("embedding", 3, 62)).alias("trait", "y"))
     return models.normalise_trait(wide.withColumn("y", F.col("y").cast("double")), "trait").select("trait", "iid", F.round("v", 5).alias("v"))

@@ -3,18 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
+from statloom.operators.store import shared
 
-def shared(spark: SparkSession) -> None:
-    """checkpoint() writes to the folder in spark.checkpoint.dir; in local mode, where it may be unset, to a temporary one."""
-    if not spark.sparkContext.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="statloom-"))
+__all__ = ["shared", "ship"]
 
 
 def ship(spark: SparkSession) -> None:
