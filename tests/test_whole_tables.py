@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from statloom import plans
-from statloom.operators import blocks, kinship, matrix
+from statloom.operators import blocks, matrix
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,20 +46,56 @@ def test_prune_leaves_no_pair_of_the_table(spark, table, grm):
     assert drop <= set(ids) and not left.any() and max(drop) >= 80
 
 
-def test_polygenic_queries_take_all_samples(spark, table, grm):
+def dense_reml(k, y, x):
+    """(share, variance, residual) by a search over the restricted likelihood, from contrasts that the fixed effects x leave."""
+    q = np.linalg.qr(np.column_stack([x, np.eye(len(y))]))[0]
+    a = q[:, np.linalg.matrix_rank(x) : len(y)]
+    theta, vector = np.linalg.eigh(a.T @ k @ a)
+    theta, w = np.maximum(theta, 0), vector.T @ (a.T @ y)
+
+    def at(h):
+        s = h * theta + 1 - h
+        return -0.5 * (np.log(s).sum() + len(w) * np.log((w * w / s).sum()))
+
+    low, high = 0.0, 0.999
+    for _ in range(8):
+        grid = np.linspace(low, high, 41)
+        best = int(np.argmax([at(h) for h in grid]))
+        low, high = grid[max(best - 1, 0)], grid[min(best + 1, 40)]
+    h = (low + high) / 2 if low > 0 else 0.0
+    s = h * theta + 1 - h
+    variance = (w * w / s).mean()
+    return h, variance, a @ vector @ (w / np.sqrt(s * variance))
+
+
+def test_polygenic_queries_take_all_samples_and_traits(spark, table, grm):
     ids, x = table
-    lam, vec = np.linalg.eigh(grm[1])
-    lam, one = np.maximum(lam, 0), np.ones((len(ids), 1))
-    fits = {f: kinship.fit_polygenic(lam, vec, x[:, f], one) for f in range(32, 46)}
+    one = np.ones((len(ids), 1))
+    fits = {f: dense_reml(grm[1], x[:, f], one) for f in range(32, 64)}
     got = {(r.feat, r.iid): r for r in plans.QUERIES["polygenic_residuals"](spark, SF).collect()}
-    assert set(got) == {(f, i) for f in range(32, 36) for i in ids}
-    assert all(np.isclose(got[f, i].resid, fits[f]["residual"][n], atol=2e-4) for f in range(32, 36) for n, i in enumerate(ids))
-    h2 = {r.feat: r.h2 for r in plans.QUERIES["heritability"](spark, SF).collect()}
-    assert set(h2) == set(range(40, 46)) and all(np.isclose(v, fits[f]["h2"], atol=2e-4) for f, v in h2.items())
-    s = np.sqrt(np.maximum(lam * fits[40]["h2"] + 1 - fits[40]["h2"], 1e-8))
-    for r in plans.QUERIES["mixed_model_scan"](spark, SF).collect():
-        a = (vec.T @ np.column_stack([one[:, 0], grm[0][:, r.variant]])) / s[:, None]
-        assert np.isclose(r.beta, np.linalg.lstsq(a, vec.T @ x[:, 40] / s, rcond=None)[0][1], atol=2e-4)
+    assert set(got) == {(f, i) for f in range(32, 64) for i in ids}
+    assert all(abs(got[f, ids[0]].h2 - fits[f][0]) < 1e-3 for f in fits)
+    assert all(np.isclose(got[f, i].resid, fits[f][2][n], atol=5e-3) for f in fits for n, i in enumerate(ids))
+    h2 = {(r.adjusted, r.feat): r.h2 for r in plans.QUERIES["heritability"](spark, SF).collect()}
+    assert set(h2) == {(a, f) for a in (0, 1) for f in fits} and all(abs(h2[0, f] - fits[f][0]) < 1e-3 for f in fits)
+    assert all(0 <= v <= 1 for v in h2.values())
+
+
+def test_mixed_scan_takes_all_samples_and_traits(spark, table, grm):
+    ids, x = table
+    k = np.where((grm[1] >= 0.8) | np.eye(len(ids), dtype=bool), grm[1], 0.0)
+    got = {(r.adjusted, r.variant, r.phenotype): r for r in plans.QUERIES["mixed_model_scan"](spark, SF).collect()}
+    assert set(got) == {(a, v, p) for a in (0, 1) for v in range(32) for p in range(32, 64)}
+    one = np.ones((len(ids), 1))
+    for p in (32, 40, 63):
+        h, variance, _ = dense_reml(k, x[:, p], one)
+        inverse = np.linalg.inv(h * k + (1 - h) * np.eye(len(ids)))
+        for v in range(32):
+            full = np.column_stack([one, grm[0][:, v]])
+            inner = np.linalg.inv(full.T @ inverse @ full)
+            beta = (inner @ full.T @ inverse @ x[:, p])[1]
+            r = got[0, v, p]
+            assert np.isclose(r.beta, beta, atol=1e-4) and np.isclose(r.t, beta / np.sqrt(variance * inner[1, 1]), atol=5e-3)
 
 
 def test_deconvolution_takes_all_samples(spark, table):
