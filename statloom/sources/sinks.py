@@ -25,8 +25,9 @@ def write_wide(long: DataFrame, path: str, key: str, name: str, value: str, name
 
 
 def write_results(df: DataFrame, path: str, by: str = "phenotype", mode: str = "append") -> None:
-    """Parquet folders by phenotype or chromosome, rows of one value together."""
-    df.repartition(by).write.mode(mode).partitionBy(by).option("compression", "zstd").parquet(path)
+    """Parquet folders by phenotype or chromosome. Rows are dealt by ranges of it and of the other columns, so that a value with
+    many rows is spread over several files. Mode append adds to what is there: use errorifexists where a job may run again."""
+    df.repartitionByRange(by, *[c for c in df.columns if c != by]).write.mode(mode).partitionBy(by).option("compression", "zstd").parquet(path)
 
 
 def write_chunks(df: DataFrame, path: str, key: str, rows: int = 25_000) -> None:
