@@ -289,6 +289,11 @@ _OTHER = re.compile("[^\x00-\u024f\u2010-\u2027]|[\x1c-\x1f\x85\xa0\u0130\u023a\
 _loaded: dict[str, PieceTokenizer] = {}
 
 
+def _odd(text: str) -> bool:
+    """Whether a text has one of _OTHER; plain ASCII is told without a look at each character."""
+    return any(c in text for c in "\x1c\x1d\x1e\x1f") if text.isascii() else _OTHER.search(text) is not None
+
+
 def _byte_letters() -> list[str]:
     """The letter that byte-level BPE writes for each byte: itself if printable in Latin-1, else the next one from U+0100."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -300,8 +305,8 @@ class PieceTokenizer(dict):
     """ids of whole texts, packed as little-endian uint32.
 
     BPE merges never cross the pieces into which the vocabulary's pattern splits a text. The dictionary keeps the ids of
-    pieces; the tokenizers library's model encodes those it lacks. `most` bounds it: it starts anew beyond that. The ids are
-    those of Tokenizer.from_file(path).encode(text, add_special_tokens=False).
+    pieces; the tokenizers library's model encodes those it lacks. `most` bounds it: beyond half of that it becomes the older
+    half, from which pieces that occur again come back. The ids are those of Tokenizer.from_file(path).encode(text, add_special_tokens=False).
     """
 
     def __init__(self, path: str, most: int = 400_000) -> None:
@@ -310,7 +315,7 @@ class PieceTokenizer(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters, self.most = self.tokenizer.model, _byte_letters(), most
+        self.model, self.letters, self.most, self.older = self.tokenizer.model, _byte_letters(), most, {}
         self.drops_space = self.tokenizer.normalizer is not None
         # the library finds added tokens before it splits a text
         self.added = [t.content.lower() if self.drops_space else t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -321,24 +326,28 @@ class PieceTokenizer(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        letters = self.letters
-        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize("".join([letters[b] for b in piece.encode()]))])
+        ids = self.older.get(piece)
+        if ids is None:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
         self[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         shown = text.lower() if self.drops_space else text
-        if _OTHER.search(text) is not None or any(t in shown for t in self.added):
+        if _odd(text) or any(t in shown for t in self.added):
             return self.whole(text)
-        if len(self) > self.most:
+        if 2 * len(self) > self.most:
+            self.older = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, self.cut(shown)))
 
 
-def tokenizer(path: str) -> PieceTokenizer:
-    """One for each Python worker and vocabulary."""
+def tokenizer(path: str, most: int = 400_000) -> PieceTokenizer:
+    """One for each Python worker and vocabulary, with a cache of `most` pieces (some 170 bytes each)."""
     if path not in _loaded:
-        _loaded[path] = PieceTokenizer(path)
+        _loaded[path] = PieceTokenizer(path, most)
+    _loaded[path].most = most
     return _loaded[path]
 
 

@@ -2,7 +2,8 @@
 
 Distinct pre-tokens are inserted in a trie; the best segmentation's score of a prefix is computed once for each node, so
 pre-tokens with a common prefix share that work, and a terminal keeps its token count. A document's count is the sum over
-its pre-tokens. Each task keeps one trie for the rows it reads; beyond NODES nodes it starts anew. The shipped vocabulary has
+its pre-tokens. Each task keeps one trie for the rows it reads; beyond NODES nodes it starts anew. Of a longer pre-token the
+trie holds the first DEEP characters; from there on only what the longest piece can reach back to is kept. The shipped vocabulary has
 merges but no unigram scores, so these come from how often its encoder uses each piece in the whole corpus.
 """
 
@@ -23,6 +24,9 @@ from pyspark.sql import types as T
 
 #: Nodes that a trie holds, and distinct pre-tokens that a task counts, before they start anew.
 NODES, WORDS = 1_000_000, 500_000
+#: Characters of a pre-token that a trie holds, characters that the encoder counts pieces of at once, and characters of texts
+#: above that length that a task holds before it counts them.
+DEEP, RUN, HELD = 4_096, 1 << 16, 1 << 25
 _SPACE = "▁"
 _known: dict[str, Trie] = {}
 
@@ -30,7 +34,8 @@ _known: dict[str, Trie] = {}
 def piece_counts(docs: DataFrame, path: str) -> dict[str, int]:
     """How often the vocabulary's own encoder uses each piece in all texts of docs; the driver holds one count a piece.
 
-    A task counts its pre-tokens, WORDS distinct ones at a time, and encodes each distinct one once.
+    A task counts its pre-tokens, WORDS distinct ones at a time, and encodes each distinct one once. Of a pre-token above RUN
+    characters each run of RUN characters is encoded by itself, so memory doesn't grow with it; no other is cut.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,9 +53,19 @@ def piece_counts(docs: DataFrame, path: str) -> dict[str, int]:
 
         total = np.zeros(model.get_piece_size(), np.int64)
         for batch in batches:
+            size = 0
             for text in batch.column(0).to_pylist():
-                held.update((text or "").encode().split())
-            if len(held) > WORDS:
+                if len(text or "") <= RUN:
+                    held.update((text or "").encode().split())
+                    continue
+                # bytes are split, since white space of ASCII alone parts words
+                for word in text.encode().split():
+                    held.update([word] if len(word) <= RUN else [w.encode() for w in _runs(word.decode())])
+                size += len(text)
+                if size > HELD:
+                    add()
+                    size = 0
+            if size or len(held) > WORDS:
                 add()
         add()
         used = np.flatnonzero(total)
@@ -60,6 +75,10 @@ def piece_counts(docs: DataFrame, path: str) -> dict[str, int]:
     return {r["piece"]: r["n"] for r in found.collect()}
 
 
+def _runs(word: str) -> list[str]:
+    return [word[at : at + RUN] for at in range(0, len(word), RUN)]
+
+
 class Vocabulary:
     """Pieces with unigram scores: the log of a piece's share of all pieces counted, each counted once more than it was."""
 
@@ -83,6 +102,7 @@ class Trie:
 
     def __init__(self, vocabulary: Vocabulary, most: int = NODES) -> None:
         self.vocabulary, self.most = vocabulary, most
+        self.longest = max(map(len, vocabulary.scores), default=1)
         # pieces by their last characters backwards, so that a node tries only endings that exist
         self.ends: dict = {}
         for piece, score in vocabulary.scores.items():
@@ -103,13 +123,17 @@ class Trie:
         if node is None:
             if self.size > self.most:
                 self.clear()
-            node = self.terminal[word] = self._insert(_SPACE + word.decode())
+            node = self._insert(_SPACE + word.decode())
+            if len(word) <= DEEP:
+                self.terminal[word] = node
+                self.size += len(word) >> 8  # a long name takes as much as some nodes
         return node[1]
 
     def _insert(self, word: str) -> tuple:
         """The word's terminal: walk down from the root; only nodes that aren't there yet are computed. A node is (score,
-        tokens, children)."""
+        tokens, children). Past DEEP characters nothing is stored, and of the scores on the way only the last ones are kept."""
         node, scores, tokens, child, pieces = self.root, [0.0], [0], (0.0, 0, self.root), self.vocabulary.scores
+        gone = 0
         for end, c in enumerate(word, 1):
             child = node.get(c)
             if child is None:
@@ -120,18 +144,24 @@ class Trie:
                     if ends is None:
                         break
                     if "" in ends:
-                        score = ends[""] + scores[start]
-                        if score > best or score == best and tokens[start] + 1 < least:
-                            best, least = score, tokens[start] + 1
+                        score = ends[""] + scores[start - gone]
+                        if score > best or score == best and tokens[start - gone] + 1 < least:
+                            best, least = score, tokens[start - gone] + 1
                 if c not in pieces:
                     score, n = self.vocabulary.byte_fallback(c)
                     if score + scores[-1] > best:
                         best, least = score + scores[-1], n + tokens[-1]
-                child = node[c] = (best, least, {})
-                self.size += 1
+                child = (best, least, {})
+                if end <= DEEP:
+                    node[c] = child
+                    self.size += 1
                 self.computed += 1
             scores.append(child[0])
             tokens.append(child[1])
+            if len(scores) > 2 * DEEP + self.longest:
+                cut = len(scores) - self.longest - 1
+                del scores[:cut], tokens[:cut]
+                gone += cut
             node = child[2]
         return child
 
@@ -140,7 +170,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """docs with n_words and n_tokens of the whole text.
 
     Pre-tokens are the runs of anything but white space (of ASCII), each with a mark for its start; characters without a
-    piece count a token for each byte. The unigram scores are those of the pieces' counts in all texts of docs. Null and
+    piece count a token for each byte. Of very long pre-tokens only the text itself is held whole. The unigram scores are those of the pieces' counts in all texts of docs. Null and
     empty texts have no tokens. Columns of these names in docs are replaced, others pass through; an empty table gives an
     empty table.
     """

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from statloom.llm import common
 
 MAGIC, STEPS, BLOCK_IDS = b"CMRC\x01", 64, 1 << 20
+#: Pieces whose ids a worker keeps.
+PIECES = 800_000
 _TOP, _BOT, _SCALE = np.uint64(1 << 48), np.uint64(1 << 32), 32
-_MASK2, _MOST0, _GAIN0, _REBUILD = (1 << 16) - 1, 1 << 21, 24, 4
+_MASK2, _MOST0, _GAIN0, _REBUILD, _GUIDE = (1 << 16) - 1, 1 << 21, 24, 4, 5
 _STRETCH = np.array([round(256 * math.log((i + 0.5) / (4095.5 - i))) for i in range(4096)], np.int64)
 _SQUASH = np.array([min(4000, max(8, round(4096 / (1 + math.exp(-i / 256))))) for i in range(-2048, 2048)], np.int64)
 
@@ -76,6 +78,24 @@ class _Model:
         # quotients below 2**32 by numbers up to 2**21 are told from integers in doubles, so division is exact after truncation
         self.cum = np.zeros(self.size + 1)
         np.cumsum(self.count, out=self.cum[1:])
+        self.guide = None
+
+    def _holding(self, places: np.ndarray) -> np.ndarray:
+        """The id whose part of the cumulated frequencies holds each place, a whole number.
+
+        A table has the ids that hold every 2**_GUIDE-th place, so that few steps are left to halve the ids between two of them.
+        """
+        if self.guide is None:
+            marks = np.arange(0, self.total + (2 << _GUIDE), 1 << _GUIDE)
+            self.guide = np.minimum(np.searchsorted(self.cum[1:], marks, side="right"), self.size - 1)
+            self.steps_left = int(np.diff(self.guide).max()).bit_length()
+        at = places.astype(np.intp) >> _GUIDE
+        low, high = self.guide.take(at), self.guide.take(at + 1)
+        for _ in range(self.steps_left):
+            middle = low + high >> 1
+            below = self.cum.take(middle + 1) <= places
+            low, high = np.where(below, middle + 1, low), np.where(below, high, middle)
+        return low
 
     def _mix(self) -> None:
         """Parts of the interval of either prediction, by context."""
@@ -134,7 +154,7 @@ class _Model:
         miss = ~hit
         at, c = other[miss], c[miss]
         t = ((place[miss] - head[miss] + 1) * float(self.total) - 1) / self.rest.take(c)
-        now = np.searchsorted(self.cum[1:], np.floor(t), side="right")
+        now = self._holding(np.floor(t))
         ids[at] = now
         start[at], size[at] = self._low(c, now)
         return ids, start, size
@@ -291,7 +311,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end, part = common.tokenizer(tokenizer_path), int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId()
+        tokens, end, part = common.tokenizer(tokenizer_path, PIECES), int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId()
         doc_ids, parts, size, place, start = [], [], 0, 0, 0
 
         def block() -> pa.RecordBatch:

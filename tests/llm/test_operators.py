@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -27,11 +28,14 @@ def texts(df):
 
 
 @pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
-def test_pieces_equal_whole(path, odd):
-    t = common.PieceTokenizer(path, most=50)
+@pytest.mark.parametrize("most", [4, 50, 400_000])
+def test_pieces_equal_whole(path, most, odd):
+    t = common.PieceTokenizer(path, most)
     more = ["a  b", "\n\nfoo \n\nx", "  x  ", "it's 'tis I'LL", "x\r\n\r\ny\t z", "½² 3rd ×÷", "İstanbul ǅ ſ", "a b c\x1cd", "ΑΣ Σ"]
-    for text in [x for _, x in texts(odd)] + more:
+    every = [x for _, x in texts(odd)] + more
+    for text in every + every:
         assert t.encode(text) == t.whole(text)
+        assert len(t) + len(t.older) <= most + 2 * max(map(len, every))
 
 
 # ---------------------------------------------------------------- 1 packing
@@ -248,6 +252,36 @@ def test_trie_shares_prefixes():
         assert trie.count(w) == brute_count(vocabulary, w.decode())
 
 
+def test_long_pretokens(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "DEEP", 5)
+    vocabulary = token_counts.Vocabulary(PIECES, {"▁inter": 50, "national": 40, "▁": 3, "ly": 9})
+    trie, rng = token_counts.Trie(vocabulary), random.Random(3)
+    words = ["".join(rng.choice(["inter", "national", "ly", "x", "é", "的"]) for _ in range(n)) for n in (1, 2, 3, 10, 60, 200)]
+    for w in words + words[::-1] + ["y".join(words)]:
+        assert trie.count(w.encode()) == brute_count(vocabulary, w)
+    assert trie.size < 1 + 5 * 14 + len(words)
+    # pieces of a long pre-token are counted run by run, those of others as a whole
+    monkeypatch.setattr(token_counts, "RUN", 50)
+    monkeypatch.setattr(token_counts, "HELD", 100)
+    counts = token_counts.piece_counts(spark.createDataFrame([(w + " and others",) for w in words] + [(None,)], "text string"), PIECES)
+    model, want = SentencePieceProcessor(model_file=PIECES), Counter()
+    for w in words + ["and", "others"] * len(words):
+        for at in range(0, len(w), 50) if len(w.encode()) > 50 else [0]:
+            want.update(model.encode(w[at : at + 50], out_type=str))
+    assert counts == want
+
+
+def test_a_long_pretoken_takes_little_memory():
+    rng = random.Random(4)
+    word = "".join(rng.choice("abcdefghijklmnop") for _ in range(300_000)).encode()
+    trie = token_counts.Trie(token_counts.Vocabulary(PIECES, {}))
+    tracemalloc.start()
+    trie.count(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000 and trie.size <= 1 + token_counts.DEEP
+
+
 # ---------------------------------------------------------------- 4 exact dedup
 
 
@@ -630,6 +664,16 @@ def test_coder_refuses_damage():
         token_output.decode(bytes(block))
 
 
+def test_places_are_found_by_the_guide():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 7, 1_000, 50_000):
+        model = token_output._Model(size, 1)
+        model.count += np.where(rng.random(size) < 0.1, rng.integers(0, 3_000, size), 0)
+        model._sum()
+        places = np.concatenate([np.floor(rng.random(5_000) * model.total), model.cum[:-1], model.cum[1:] - 1])
+        assert (model._holding(places) == np.searchsorted(model.cum[1:], places, side="right")).all()
+
+
 @pytest.mark.parametrize("which", ["odd", "docs", "empty"])
 def test_token_output(which, request, spark, tmp_path):
     df = request.getfixturevalue(which)
