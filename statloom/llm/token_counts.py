@@ -60,7 +60,7 @@ def piece_counts(docs: DataFrame, path: str) -> dict[str, int]:
                     continue
                 # bytes are split, since white space of ASCII alone parts words
                 for word in text.encode().split():
-                    held.update([word] if len(word) <= RUN else [w.encode() for w in _runs(word.decode())])
+                    held.update([word] if len(word) <= RUN else [w.encode() for w in _runs(word.decode(), RUN)])
                 size += len(text)
                 if size > HELD:
                     add()
@@ -75,8 +75,8 @@ def piece_counts(docs: DataFrame, path: str) -> dict[str, int]:
     return {r["piece"]: r["n"] for r in found.collect()}
 
 
-def _runs(word: str) -> list[str]:
-    return [word[at : at + RUN] for at in range(0, len(word), RUN)]
+def _runs(word: str, size: int) -> list[str]:
+    return [word[at : at + size] for at in range(0, len(word), size)]
 
 
 class Vocabulary:
