@@ -14,6 +14,8 @@ from statloom.llm import common
 
 #: Bits of prefix that one round counts, bits of the hash, and bytes that a shard may hold.
 BITS, HASH_BITS, BYTE_LIMIT = 12, 60, 32 << 20
+#: Cells beyond twice the buckets, and buckets that may be broadcast, when rows are dealt to buckets.
+CELLS = 1 << 14
 #: Overflow pages, and rows, that one task fills one after the other.
 RUN_PAGES, RUN_ROWS = 16, 1_000_000
 
@@ -77,11 +79,8 @@ def shard(docs: DataFrame, byte_limit: int = BYTE_LIMIT, key: str = "doc_id", bi
     rows = rows if keep else slim
     found = common.save(buckets(slim if keep else slim.select("__hash", F.col("bytes").alias("__bytes")), byte_limit, bits), "directory")
     named = found.select("depth", "prefix", F.expr("if(depth = 0, '', lpad(bin(prefix), depth, '0'))").alias("shard"), F.col("bytes").alias("shard_bytes"), F.col("rows").alias("shard_rows"))
-    # each bucket lists the cells of the deepest level used in `bits` steps, so rows join by equality
-    depths = [r[0] for r in found.select("depth").distinct().sort("depth").collect()]  # HASH_BITS + 1 at most
-    tries = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix("__hash", d).alias("prefix")) for d in depths]) if depths else F.array(F.struct(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix")))
-    leaves = named.withColumn("__leaf", F.concat_ws(":", "depth", "prefix"))
-    out = _leaf_join(rows, leaves, depths, tries)
+    counts = {r["depth"]: r["n"] for r in found.groupBy("depth").agg(F.count("*").alias("n")).collect()}  # HASH_BITS + 1 at most
+    out = _leaf_join(rows, named, counts)
     over = (F.col("shard_bytes") > byte_limit) & (F.col("shard_rows") > 1)
     if found.where((F.col("bytes") > byte_limit) & (F.col("rows") > 1)).isEmpty():
         return out
@@ -99,15 +98,18 @@ def shard(docs: DataFrame, byte_limit: int = BYTE_LIMIT, key: str = "doc_id", bi
     return out.where(~over).unionByName(paged)
 
 
-def _leaf_join(rows: DataFrame, leaves: DataFrame, depths: list[int], tries: Column) -> DataFrame:
-    """Rows with their bucket. The directory is a tree, so exactly one depth matches; one equality join for each depth
-    would shuffle the rows often, so the directory is spread over cells of its deepest level instead."""
-    deepest = max(depths, default=0)
-    if deepest - min(depths, default=0) <= 16:
-        cells = leaves.withColumn("__cell", F.explode(F.expr(f"sequence(shiftleft(prefix, cast({deepest} - depth as int)), shiftleft(prefix + 1, cast({deepest} - depth as int)) - 1)")))
-        cells = cells.select("__cell", "shard", F.col("depth").alias("shard_depth"), "shard_bytes", "shard_rows")
-        out = rows.withColumn("__cell", _prefix("__hash", deepest)).join(cells, "__cell")
-        return out.drop("__cell", "__hash")
-    many = rows.withColumn("__try", F.explode(tries)).withColumn("__leaf", F.concat_ws(":", "__try.depth", "__try.prefix"))
-    leaves = leaves.select("__leaf", "shard", F.col("depth").alias("shard_depth"), "shard_bytes", "shard_rows")
-    return many.join(leaves, "__leaf").drop("__try", "__leaf", "__hash")
+def _cell_depth(counts: dict[int, int]) -> int:
+    """The deepest level at which the buckets, counted by depth, stand in few more cells than there are buckets."""
+    cells = lambda c: sum(n << max(c - d, 0) for d, n in counts.items())
+    return max((c for c in range(min(counts, default=0), max(counts, default=0) + 1) if cells(c) <= 2 * sum(counts.values()) + CELLS), default=0)
+
+
+def _leaf_join(rows: DataFrame, buckets_: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Rows with their bucket: one equality join, by cells of one level. A bucket above it lists its cells, one below it stands in
+    the cell that holds it, and a row of such a cell takes the bucket whose prefix it has. counts: buckets by depth."""
+    c = _cell_depth(counts)
+    cells = F.expr(f"if(depth <= {c}, sequence(shiftleft(prefix, greatest({c} - depth, 0)), shiftleft(prefix + 1, greatest({c} - depth, 0)) - 1), array(shiftright(prefix, greatest(depth - {c}, 0))))")
+    leaves = buckets_.withColumn("__cell", F.explode(cells)).withColumnRenamed("depth", "shard_depth")
+    leaves = leaves.hint("merge") if sum(counts.values()) > CELLS else leaves
+    out = rows.withColumn("__cell", _prefix("__hash", c)).join(leaves, "__cell").where(_prefix("__hash", "shard_depth") == F.col("prefix"))
+    return out.drop("__cell", "__hash", "prefix").select(*[x for x in rows.columns if x != "__hash"], "shard", "shard_depth", "shard_bytes", "shard_rows")
