@@ -129,11 +129,12 @@ def lookup(probes: DataFrame, panel: DataFrame, keys: list[str], probe: str) ->
 
     Several variants may share keys; probes: probe, keys, a1, a2; panel: idx, keys, a1, a2. `probe` names rows uniquely.
     """
-    there = panel.select(*keys, "idx", F.col("a1").alias("__a1"), F.col("a2").alias("__a2"))
-    straight = (F.col("a1") == F.col("__a1")) & (F.col("a2") == F.col("__a2"))
-    crossed = (F.col("a1") == F.col("__a2")) & (F.col("a2") == F.col("__a1"))
-    hit = F.when(straight, F.struct("idx", F.lit(1).alias("flip"))).when(crossed, F.struct("idx", F.lit(-1).alias("flip")))
-    found = probes.join(there, keys, "left").groupBy(probe).agg(F.min(hit).alias("__h"))
+    # of the panel's variants with the same keys and alleles only the first can be found, so a probe meets two rows at most
+    first = panel.groupBy(*keys, "a1", "a2").agg(F.min("idx").alias("idx"))
+    reverse = first.select(*keys, F.col("a2").alias("a1"), F.col("a1").alias("a2"), "idx").where("a1 <> a2")
+    there = first.select(*keys, "a1", "a2", F.struct("idx", F.lit(1).alias("flip")).alias("__h")).unionByName(reverse.select(*keys, "a1", "a2", F.struct("idx", F.lit(-1).alias("flip")).alias("__h")))
+    there = there.where("__h.idx is not null").groupBy(*keys, "a1", "a2").agg(F.min("__h").alias("__h"))
+    found = probes.join(there, [*keys, "a1", "a2"], "left").groupBy(probe).agg(F.min("__h").alias("__h"))
     return found.select(probe, F.coalesce(F.col("__h.idx"), F.lit(-1)).alias("idx"), F.coalesce(F.col("__h.flip"), F.lit(0)).alias("flip"))
 
 
