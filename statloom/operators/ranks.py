@@ -15,6 +15,14 @@ def average_rank(x: str, *by: str) -> Column:
     return F.when(F.col(x).isNotNull(), F.rank().over(order) + (ties - 1) / 2.0)
 
 
+def with_average_rank(df: DataFrame, x: str, *by: str, name: str = "r") -> DataFrame:
+    """df with average_rank() as `name`, from the counts of distinct values, which alone are put in order: for values with many ties."""
+    v = df.where(F.col(x).isNotNull()).groupBy(*by, x).agg(F.count("*").alias("__k"))
+    before = F.sum("__k").over(Window.partitionBy(*by).orderBy(x).rowsBetween(Window.unboundedPreceding, -1))
+    v = v.withColumn(name, F.coalesce(before, F.lit(0)) + 1 + (F.col("__k") - 1) / 2.0).drop("__k")
+    return _same(df, v, *by, x, how="left")
+
+
 def inverse_normal(df: DataFrame, x: str, *by: str, rescale: bool = True) -> DataFrame:
     """df with `int`. Rescaled: quantiles of (rank - 0.5) / largest rank, centred and scaled by the sample deviation.
     Otherwise the quantile of (rank - 0.5) / number of values."""

@@ -27,7 +27,7 @@ def _feat(t: Tables):
 
 @query(f"SELECT k, i, r FROM {_RANK}")
 def rank_avg(spark, d):
-    return _tied(Tables(spark, d)).select("k", "i", ranks.average_rank("x", "g").alias("r"))
+    return ranks.with_average_rank(_tied(Tables(spark, d)), "x", "g").select("k", "i", "r")
 
 
 @query(f"SELECT iid, feat, round((q - avg(q) OVER w) / stddev_samp(q) OVER w, 6) AS v FROM (SELECT iid, feat, {norm_quantile_sql('p')} AS q FROM (SELECT iid, feat, (r - 0.5e0) / max(r) OVER (PARTITION BY feat) AS p FROM {_FRANK})) WINDOW w AS (PARTITION BY feat)")
