@@ -19,32 +19,32 @@ from statloom.functions.stats import CHI2_MEDIAN
 from statloom.operators import blocks
 
 
-def _design(covariates: DataFrame) -> DataFrame:
-    """(iid, c) with the intercept in front."""
-    return covariates.select("iid", F.concat(F.array(F.lit(1.0)), F.col("c").cast("array<double>")).alias("c"))
+def _design(covariates: DataFrame, *by: str) -> DataFrame:
+    """(iid, c) with the intercept in front, and the columns `by`."""
+    return covariates.select(*by, "iid", F.concat(F.array(F.lit(1.0)), F.col("c").cast("array<double>")).alias("c"))
 
 
 def _dots(vector: Column, k: int, scalar: Column) -> Column:
     return F.array(*[F.sum(vector[i] * scalar) for i in range(k)])
 
 
-def covariate_block(covariates: DataFrame, k: int) -> DataFrame:
-    """One row: n and a_cov, the (k + 1)**2 sums of products of intercept and covariates, row by row."""
-    d = _design(covariates)
-    return d.agg(F.count("*").alias("n"), F.array(*[F.sum(F.col("c")[i] * F.col("c")[j]) for i in range(k + 1) for j in range(k + 1)]).alias("a_cov"))
+def covariate_block(covariates: DataFrame, k: int, *by: str) -> DataFrame:
+    """One row (or one for each value of `by`): n and a_cov, the (k + 1)**2 sums of products of intercept and covariates, row by row."""
+    d = _design(covariates, *by)
+    return d.groupBy(*by).agg(F.count("*").alias("n"), F.array(*[F.sum(F.col("c")[i] * F.col("c")[j]) for i in range(k + 1) for j in range(k + 1)]).alias("a_cov"))
 
 
-def variant_sums(dosages: DataFrame, covariates: DataFrame, k: int) -> DataFrame:
+def variant_sums(dosages: DataFrame, covariates: DataFrame, k: int, *by: str) -> DataFrame:
     """variant, a_test = [sum g, sum g*c ..., sum g*g], af."""
-    d = dosages.join(_design(covariates), "iid")
+    d = dosages.join(_design(covariates, *by), [*by, "iid"])
     tests = F.concat(_dots(F.col("c"), k + 1, F.col("g")), F.array(F.sum(F.col("g") * F.col("g"))))
-    return d.groupBy("variant").agg(tests.alias("a_test"), (F.avg("g") / 2).alias("af"))
+    return d.groupBy(*by, "variant").agg(tests.alias("a_test"), (F.avg("g") / 2).alias("af"))
 
 
-def phenotype_sums(phenotypes: DataFrame, covariates: DataFrame, k: int) -> DataFrame:
+def phenotype_sums(phenotypes: DataFrame, covariates: DataFrame, k: int, *by: str) -> DataFrame:
     """phenotype, b_cov = [sum y, sum c*y ...], c_yy = sum y*y."""
-    d = phenotypes.join(_design(covariates), "iid")
-    return d.groupBy("phenotype").agg(_dots(F.col("c"), k + 1, F.col("y")).alias("b_cov"), F.sum(F.col("y") * F.col("y")).alias("c_yy"))
+    d = phenotypes.join(_design(covariates, *by), [*by, "iid"])
+    return d.groupBy(*by, "phenotype").agg(_dots(F.col("c"), k + 1, F.col("y")).alias("b_cov"), F.sum(F.col("y") * F.col("y")).alias("c_yy"))
 
 
 def _kinds(*columns: tuple[DataFrame, str]) -> tuple[str, tuple]:
@@ -98,6 +98,23 @@ def study(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame, k: i
     return out.crossJoin(F.broadcast(block))
 
 
+def studies(dosages: DataFrame, phenotypes: DataFrame, covariates: DataFrame, k: int) -> DataFrame:
+    """The rows of study() for each study, and its number `study`, an int column of all three tables (0, 1, ...). Every table is
+    read once for all studies, whose tiles don't meet those of others."""
+    numbered = lambda df, name: df.select("study", F.concat_ws("/", "study", F.col(name).cast("string")).alias("__n"), "iid", F.col({"variant": "g", "phenotype": "y"}[name]).alias("v"))
+    there = dosages.join(covariates.select("study", "iid"), ["study", "iid"], "left_semi")
+    at = F.locate("/", "__n")
+
+    def finish(sums: blocks.Sums) -> Iterator[pa.RecordBatch]:
+        yield from blocks.rows(sums, sums.pair["n"] > 0, {"b4": sums.pair["xy"]}, (pa.string(), pa.string()), ("__n", "__p"))
+
+    pairs = blocks.multiply(numbered(there, "variant"), numbered(phenotypes, "phenotype"), finish, "__n string, __p string, b4 double", ("__n", "iid", "v"), ("__n", "iid", "v"), kernel=blocks.Products, within="study")
+    name = lambda c, of, column: F.substring(c, at + 1, F.length(c)).cast(of.schema[column].dataType).alias(column)
+    pairs = pairs.select(F.substring("__n", F.lit(1), at - 1).cast(dosages.schema["study"].dataType).alias("study"), name(F.col("__n"), dosages, "variant"), name(F.col("__p"), phenotypes, "phenotype"), "b4")
+    out = pairs.join(variant_sums(dosages, covariates, k, "study"), ["study", "variant"]).join(phenotype_sums(phenotypes, covariates, k, "study"), ["study", "phenotype"])
+    return out.join(F.broadcast(covariate_block(covariates, k, "study")), "study")
+
+
 def pool(studies: DataFrame) -> DataFrame:
     """Sums of the statistics of several studies' rows for a pair; only studies that have the pair count."""
     def added(name: str) -> Column:

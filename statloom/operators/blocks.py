@@ -139,12 +139,13 @@ def _tiles(long: DataFrame, row: str, col: str, value: str, r: int, c: int, deal
     return rows.groupBy("r", "c").applyInPandas(dense, f"r int, c int, names array<{kinds[row]}>, cols array<{kinds[col]}>, data binary")
 
 
-def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterator[pa.RecordBatch]], schema: str, names: tuple[str, str, str], others: tuple[str, str, str], covariates: DataFrame | None = None, k: int = 0, band: tuple[str, int] | None = None, kernel: Callable[[int], Sums] = Sums, wide: int | None = None) -> DataFrame:
+def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterator[pa.RecordBatch]], schema: str, names: tuple[str, str, str], others: tuple[str, str, str], covariates: DataFrame | None = None, k: int = 0, band: tuple[str, int] | None = None, kernel: Callable[[int], Sums] = Sums, wide: int | None = None, within: str | None = None) -> DataFrame:
     """What finish() makes of the Sums of each pair of row blocks. names and others: the (row, col, value) columns of either
     side; covariates: (col, c array of k), which also says which columns there are. band: a column of both sides that deals
     their rows into numbered blocks, and how much larger the right block's number may be than the left one's: only such pairs
     meet then, without covariates. kernel: what adds up the sums, of k covariates. wide: both sides
-    are the same table, whose blocks have up to so many times ROWS rows; each pair of blocks meets once."""
+    are the same table, whose blocks have up to so many times ROWS rows; each pair of blocks meets once. within: an int column of both
+    sides; only rows with the same number in it meet, without covariates, and names of rows must tell those of several numbers apart."""
     spark = left.sparkSession
     if band:
         r = s = 1
@@ -153,7 +154,8 @@ def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterato
         r = s = -(-n // min(wide * ROWS, max(ROWS, n // 16)))  # not so few blocks that tasks lack pairs of them
     else:
         r, s = _count(left, names[0], ROWS), _count(right, others[0], ROWS)
-    c = _count(left, names[1], max(1, COLS // (wide or 1)))
+    groups = _count(left, within, 1) if within else 1
+    c = _count(left, names[1], max(1, COLS * groups // (wide or 1)))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     kind = dict(left.dtypes)[names[0]], dict(right.dtypes)[others[0]]
     none = lambda t: F.expr(f"cast(null as array<{t}>)").alias
@@ -162,6 +164,11 @@ def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterato
     before = F.explode(F.sequence(F.col("s") - far, F.col("s"))) if band else F.explode(F.sequence(F.lit(0), F.col("s"))) if wide else each(r)
     x = _tiles(left, *names, r, c, dealt).select("r", after.alias("s"), "c", F.lit(1).alias("side"), "cols", "data", F.col("names").alias("xn"), none(kind[1])("yn"))
     y = _tiles(right, *others, s, c, dealt).withColumnRenamed("r", "s").select(before.alias("r"), "s", "c", F.lit(2).alias("side"), "cols", "data", none(kind[0])("xn"), F.col("names").alias("yn"))
+    if within:
+        own = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n)) + F.col(within) * n
+        run_of = lambda number, n, m: F.explode(F.sequence((F.floor(number / n) * m).cast("int"), (F.floor(number / n) * m + m - 1).cast("int")))
+        x = _tiles(left.withColumn("__d", own(names[0], r)), *names, r, c, "__d").select("r", run_of(F.col("r"), r, s).alias("s"), "c", F.lit(1).alias("side"), "cols", "data", F.col("names").alias("xn"), none(kind[1])("yn"))
+        y = _tiles(right.withColumn("__d", own(others[0], s)), *others, s, c, "__d").withColumnRenamed("r", "s").select(run_of(F.col("s"), s, r).alias("r"), "s", "c", F.lit(2).alias("side"), "cols", "data", none(kind[0])("xn"), F.col("names").alias("yn"))
     tiles = x.unionByName(y)
     if covariates is not None:
         flat = covariates.select(F.col(names[1]), F.posexplode("c").alias("__j", "__v"))

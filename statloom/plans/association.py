@@ -82,14 +82,18 @@ def solve_cov1(spark, d):
     return r.select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"), F.round("se", 6).alias("se"), F.round("t", 5).alias("t"))
 
 
+def _cohorts(t: Tables):
+    """Statistics of the model with the covariate, a study being a label under ten."""
+    mine = F.col("label").between(0, 9)
+    g = standins.dosages(t).where(mine).select(F.col("label").alias("study"), F.col("feat").alias("variant"), "iid", "g")
+    y = standins.phenotypes(t).where(mine).where("feat <> 63").select(F.col("label").alias("study"), F.col("feat").alias("phenotype"), "iid", "y")
+    c = standins.long(t).where("feat = 63").where(mine).select(F.col("label").alias("study"), "iid", F.array("x").alias("c"))
+    return assoc.studies(g, y, c, 1)
+
+
 @query(f"SELECT variant, phenotype, n, round(gy / gg, 6) AS beta FROM {_SWEPT}")
 def solve_pooled_cohorts(spark, d):
-    t = Tables(spark, d)
-    parts = [assoc.study(*_adjusted(t, k), 1) for k in range(10)]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    return assoc.solve(assoc.pool(both)).select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"))
+    return assoc.solve(assoc.pool(_cohorts(Tables(spark, d)))).select("variant", "phenotype", "n", F.round("beta", 6).alias("beta"))
 
 
 _WITHIN = f"""(SELECT variant, phenotype, sum(n) AS n, count(*) AS studies, sum(gg) AS gg, sum(gy) AS gy, sum(yy) AS yy, sum(gc) AS gc, sum(cy) AS cy, sum(cc) AS cc FROM (
@@ -101,12 +105,7 @@ _WITHIN_FIT = f"(SELECT variant, phenotype, n, n - studies - 2 AS df, gg - gc *
 @query(f"SELECT variant, phenotype, CAST(df AS DOUBLE) AS df, round(b / a, 6) AS beta, round(b / a / sqrt((q - b * b / a) / df / a), 5) AS t FROM {_WITHIN_FIT}")
 def solve_study_intercepts(spark, d):
     """The pooled model with an intercept for each study."""
-    t = Tables(spark, d)
-    parts = [assoc.study(*_adjusted(t, k), 1) for k in range(10)]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    r = assoc.solve(assoc.pool_within(both, 1))
+    r = assoc.solve(assoc.pool_within(_cohorts(Tables(spark, d)), 1))
     return r.select("variant", "phenotype", "df", F.round("beta", 6).alias("beta"), F.round("t", 5).alias("t"))
 
 

@@ -196,18 +196,13 @@ _HAVE = "NOT ((variant + label) % 4 = 0 OR (phenotype + label) % 5 = 1)"
 def solve_missing_cohorts(spark, d):
     """Cohorts that lack a variant or a phenotype add nothing to the pairs' sums; n is that of the cohorts present."""
     t = Tables(spark, d)
-    g = standins.dosages(t).where("(feat + label) % 4 <> 0").select(F.col("feat").alias("variant"), "iid", "label", "g")
-    y = standins.phenotypes(t).where("(feat + label) % 5 <> 1").select(F.col("feat").alias("phenotype"), "iid", "label", "y")
-    parts = []
-    for k in range(10):
-        mine = lambda df: df.where(F.col("label") == k).drop("label")  # noqa: B023, E731
-        none = t.embeddings.where(F.col("label") == k).select(F.col("vec_id").alias("iid"), F.expr("cast(array() as array<double>)").alias("c"))
-        parts.append(assoc.study(mine(g), mine(y), none, 0).withColumn("cohort", F.lit(k)))
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
+    mine = F.col("label").between(0, 9)
+    g = standins.dosages(t).where(mine).where("(feat + label) % 4 <> 0").select(F.col("feat").alias("variant"), "iid", F.col("label").alias("study"), "g")
+    y = standins.phenotypes(t).where(mine).where("(feat + label) % 5 <> 1").select(F.col("feat").alias("phenotype"), "iid", F.col("label").alias("study"), "y")
+    none = t.embeddings.where(mine).select(F.col("label").alias("study"), F.col("vec_id").alias("iid"), F.expr("cast(array() as array<double>)").alias("c"))
+    both = assoc.studies(g, y, none, 0)
     present = both.groupBy("variant", "phenotype").agg(F.count("*").alias("cohorts"))
-    r = assoc.solve(assoc.pool(both.drop("cohort"))).join(present, ["variant", "phenotype"])
+    r = assoc.solve(assoc.pool(both)).join(present, ["variant", "phenotype"])
     return r.select("variant", "phenotype", "n", "cohorts", F.round("beta", 6).alias("beta"))
 
 
