@@ -1,12 +1,13 @@
 """Products of two long matrices by dense tiles: each task holds a tile of either side, whatever the matrices' sizes.
 
 A side is a long table (row, col, value); a cell that is absent or null is missing. Rows and columns are dealt by hash into
-blocks. The tiles of a pair of row blocks, over all blocks of columns, meet in one task one after the other, and only the
-sums over columns are held. Which tiles meet is told by equal keys, so no plan is a Cartesian product.
+blocks. The tiles of a pair of row blocks meet in a task one after the other, for all blocks of columns or a part of them, and
+only the sums over columns are held, which merge. Which tiles meet is told by equal keys, so no plan is a Cartesian product.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Rows and columns of a tile on average: 4 MB, so that an Arrow batch of 64 MB holds some.
 ROWS, COLS = 512, 1024
+#: Blocks of columns that a task sums up at most for a pair of row blocks (512 MB), and tasks that a pair is dealt to where there are few pairs.
+RUN, SPREAD = 64, 16
 
 
 class Sums:
@@ -72,6 +75,23 @@ class Sums:
                 self.own[side][place] += np.column_stack([v.sum(1), (~gaps).sum(1), v @ c, gaps @ c])
                 self.squares[side][place] += (v * v).sum(1)
 
+    def merge(self, other: Sums) -> tuple[np.ndarray, np.ndarray]:
+        """Add the sums over other columns; the places of the other's rows and columns."""
+        i, j = self._places(self.rows, np.array(list(other.rows))), self._places(self.cols, np.array(list(other.cols)))
+        size, at = (len(self.rows), len(self.cols)), np.ix_(i, j)
+        for name, more in other.pair.items():
+            old = self.pair[name]
+            self.pair[name] = np.pad(old, [(0, size[0] - old.shape[0]), (0, size[1] - old.shape[1])])
+            self.pair[name][at] += more
+        if self.k:
+            self.a += other.a
+            for side, place, known in (("x", i, self.rows), ("y", j, self.cols)):
+                self.own[side] = np.pad(self.own[side], [(0, len(known) - len(self.own[side])), (0, 0)])
+                self.squares[side] = np.pad(self.squares[side], (0, len(known) - len(self.squares[side])))
+                self.own[side][place] += other.own[side]
+                self.squares[side][place] += other.squares[side]
+        return i, j
+
     def filled(self) -> tuple[np.ndarray, ...]:
         """(xy, xx, yy, xc, yc) with missing values at their row's mean."""
         mean = {s: np.divide(o[:, 0], o[:, 1], out=np.zeros(len(o)), where=o[:, 1] > 0) for s, o in self.own.items()}
@@ -178,7 +198,7 @@ def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterato
 
     swept = covariates is not None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], Sums]]:
         now, sums, held = None, kernel(k), {}
         for batch in batches:
             for at in range(batch.num_rows):
@@ -186,7 +206,7 @@ def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterato
                 side, cols = batch.column(3)[at].as_py(), batch.column(4)[at].values.to_numpy(zero_copy_only=False)
                 if key[:2] != now:
                     if sums.rows:
-                        yield from finish(sums)
+                        yield now, sums
                     now, sums = key[:2], kernel(k)
                 if held.get("key") != key:
                     held = {"key": key}
@@ -199,10 +219,39 @@ def multiply(left: DataFrame, right: DataFrame, finish: Callable[[Sums], Iterato
                 known = held[0][0] if swept else np.union1d(held[1][0], cols)
                 sums.add(held[1][2].to_numpy(zero_copy_only=False), _onto(held[1][1], held[1][0], known), batch.column(7)[at].values.to_numpy(zero_copy_only=False), _onto(data, cols, known), held[0][1].T if swept else None)
         if sums.rows:
+            yield now, sums
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sums in summed(batches):
+            yield from finish(sums)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (r_, s_), sums in summed(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([r_], pa.int32()), pa.array([s_], pa.int32()), pa.array([pickle.dumps(sums)], pa.binary())], names=["r", "s", "sums"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                key = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
+                part = pickle.loads(batch.column(2)[at].as_py())
+                if key == now:
+                    sums.merge(part)
+                    continue
+                if now is not None:
+                    yield from finish(sums)
+                now, sums = key, part
+        if now is not None:
             yield from finish(sums)
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return tiles.repartition(n, "r", "s").sortWithinPartitions("r", "s", "c", "side").mapInArrow(run, schema)
+    parts = 1 if band or wide else min(c, max(-(-c // RUN), min(SPREAD, n // (r * s * groups)), 1))
+    if parts == 1:
+        return tiles.repartition(n, "r", "s").sortWithinPartitions("r", "s", "c", "side").mapInArrow(run, schema)
+    # a task adds up some of the blocks of columns, and a pair's sums are added up after it
+    tiles = tiles.withColumn("part", F.pmod("c", F.lit(parts)))
+    some = tiles.repartition(max(n, r * s * groups * parts), "r", "s", "part").sortWithinPartitions("part", "r", "s", "c", "side").drop("part").mapInArrow(partial, "r int, s int, sums binary")
+    return some.repartition(n, "r", "s").sortWithinPartitions("r", "s").mapInArrow(merged, schema)
 
 
 def _onto(x: np.ndarray, cols: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -126,6 +126,14 @@ class Interaction(blocks.Sums):
         powers = np.column_stack([np.ones(len(i)), i, i * i])
         self.g[at] += np.hstack([x0 @ powers, (x0 * x0) @ powers])
 
+    def merge(self, other: Interaction) -> tuple[np.ndarray, np.ndarray]:
+        i, j = super().merge(other)
+        self.giy = np.pad(self.giy, [(0, len(self.rows) - self.giy.shape[0]), (0, len(self.cols) - self.giy.shape[1])])
+        self.g = np.pad(self.g, [(0, len(self.rows) - len(self.g)), (0, 0)])
+        self.giy[np.ix_(i, j)] += other.giy
+        self.g[i] += other.g
+        return i, j
+
 
 def interaction(dosages: DataFrame, phenotypes: DataFrame, moderator: DataFrame, least_maf: float = 0.05, min_abs_t: float | None = None) -> DataFrame:
     """variant, phenotype, n, beta, t of the product term in y ~ g + i + g*i, by tiles.
