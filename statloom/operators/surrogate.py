@@ -44,6 +44,37 @@ def permuted_residuals(residual: DataFrame, permutations: int, seed: int) -> Dat
     return residual.groupBy("feat").applyInPandas(run, f"set int, feat {kinds['feat']}, iid {kinds['iid']}, x double")
 
 
+def permuted_tiles(residual: DataFrame, permutations: int, seed: int) -> tall.Tiles:
+    """Tiles of permuted_residuals(), of which a feature's samples in a block leave its task as one row with all sets, sample names once."""
+    known = residual.where("x is not null")
+    size = known.agg(F.approx_count_distinct("feat").alias("r"), F.approx_count_distinct("iid").alias("c")).first()
+    r, c = max(1, -(-size["r"] // tall.ROWS)), max(1, -(-size["c"] // tall.COLS))
+    kinds = dict(residual.dtypes)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = pd.concat(list(parts)).sort_values("iid")
+        feat, x, of = part["feat"].iloc[0], part["x"].to_numpy(float), part["c"].to_numpy()
+        every = [np.random.default_rng([seed, s, *str(feat).encode()]).permutation(x) if s else x for s in range(permutations + 1)]
+        order = np.argsort(of, kind="stable")
+        ids, data = part["iid"].to_numpy()[order], np.array(every)[:, order]
+        ends = np.flatnonzero(np.r_[True, np.diff(of[order]) != 0, True])
+        for low, high in zip(ends[:-1], ends[1:], strict=True):
+            yield pd.DataFrame({"r": part["r"].iloc[:1], "c": [of[order][low]], "feat": [feat], "ids": [ids[low:high].tolist()], "data": [np.ascontiguousarray(data[:, low:high]).tobytes()]})
+
+    def dense(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("feat")
+        cols = np.unique(np.concatenate([np.asarray(i) for i in part["ids"]]))
+        x = np.zeros((permutations + 1, len(part), len(cols)))
+        for at, (ids, data) in enumerate(zip(part["ids"], part["data"], strict=True)):
+            x[:, at, np.searchsorted(cols, np.asarray(ids))] = np.nan_to_num(np.frombuffer(data).reshape(permutations + 1, -1))
+        n = permutations + 1
+        return pd.DataFrame({"set": range(n), "r": [part["r"].iloc[0]] * n, "c": [part["c"].iloc[0]] * n, "rows": [part["feat"].tolist()] * n, "cols": [cols.tolist()] * n, "data": [m.tobytes() for m in x]})
+
+    pieces = known.select(tall.block("feat", r).alias("r"), tall.block("iid", c).alias("c"), "feat", "iid", "x").groupBy("feat").applyInPandas(run, f"r int, c int, feat {kinds['feat']}, ids array<{kinds['iid']}>, data binary")
+    out = pieces.groupBy("r", "c").applyInPandas(dense, f"set int, r int, c int, rows array<{kinds['feat']}>, cols array<{kinds['iid']}>, data binary")
+    return tall.Tiles(store.keep(out, "permuted-residuals"), r, c)
+
+
 def _free(v: tall.Tall, q: tall.Tall) -> tall.Tall:
     """v without its part in the orthonormal q."""
     inside = {s: g[: q.k, q.k :] for s, g in tall.cross(q, v).items()}
@@ -70,15 +101,19 @@ def components(values: DataFrame, residual: DataFrame, q: tall.Tall, most: int,
     q: the orthonormal design over the samples, of which permuted residuals are freed again. A direction counts if at most the
     level's share of permutations explains as much by its place, and all before it count.
     """
-    tiles = tall.Tiles.of(permuted_residuals(residual, permutations, seed), "feat", "iid", "x", "set", "permuted-residuals")
+    tiles = permuted_tiles(residual, permutations, seed)
     sets = list(range(permutations + 1))
     wide = q.copies(sets).kept("design-sets")
-    start = _free(tiles.random(most + 10, seed), wide)
-    found, vectors = tall.leading(gram_of(tiles, wide), start.kept("start"), most, tolerance=1e-4)
-    total = _energy(tiles, wide)
+    narrow = tall.Narrow.of(tiles, wide)
+    if narrow:
+        found, total, done = narrow.values(most), {s: float(np.trace(g)) for s, g in narrow.gram.items()}, []
+    else:
+        start = _free(tiles.random(most + 10, seed), wide)
+        found, vectors = tall.leading(gram_of(tiles, wide), start.kept("start"), most, tolerance=1e-4)
+        total, done = _energy(tiles, wide), [vectors.df]
     share = np.array([found[s] / max(total[s], 1e-300) for s in sets])
     p = np.maximum.accumulate((share[1:] >= share[0]).mean(0)) if permutations else np.zeros(most)
-    for df in (tiles.df, wide.df, vectors.df):
+    for df in (tiles.df, wide.df, *done):
         store.drop(df)
     return int(((p <= level) & (found[0] > 1e-9 * max(total[0], 1e-300))).sum())
 
@@ -177,7 +212,7 @@ def surrogate_variables(values: DataFrame, design: DataFrame, covariates: int, n
     samples give no surrogate variables.
 
     Features x samples is cut into tiles; samples x (covariates + most + 10) is a table of blocks. The driver sees Gram matrices of
-    these few columns and counts of p values in bins.
+    these few columns, or of the features where there are tall.FEW at most, and counts of p values in bins.
     """
     there = values.where("x is not null and not isnan(x)").join(design.select("iid"), "iid", "left_semi")
     there = store.keep(most_variable(there, variable), "variable-features")
@@ -198,7 +233,16 @@ def surrogate_variables(values: DataFrame, design: DataFrame, covariates: int, n
         return none, 0
     ones = tall.combine([q], lambda s, x: np.ones((len(x), 1)), 1).kept("ones")
     unit, _ = tall.orthonormal(ones)
-    _, sv = tall.leading(gram_of(tiles, q), _free(tiles.random(number + 10, seed), q).kept("start"), number, tolerance=TOLERANCE)
+    few = tall.Narrow.of(tiles, q), tall.Narrow.of(tiles, unit)
+
+    def leading(freed: tall.Tall, w: tall.Tall | None = None) -> tall.Tall:
+        if few[0]:  # a weight each of few features
+            by = w and {r["feat"]: r["w"][0] for r in w.rows("feat", "w").collect()}
+            return few[w is not None].leading(number, by)[1]
+        start = _free(tiles.random(number + 10, seed), freed).kept("start")
+        return tall.leading(gram_of(tiles, freed, w), start, number, tolerance=TOLERANCE)[1]
+
+    sv = leading(q)
     square = centred.groupBy("feat").agg(F.sum(F.col("x") ** 2).alias("yy"))
     null, interest, found = list(range(covariates + 1)), covariates + 1, list(range(covariates + 2, covariates + 2 + number))
     for _ in range(rounds):
@@ -212,7 +256,7 @@ def surrogate_variables(values: DataFrame, design: DataFrame, covariates: int, n
         energy = tall.cross(w)[0][0, 0]
         if not energy > 1e-12:  # no feature depends on them alone: the variables stay
             break
-        _, new = tall.leading(gram_of(tiles, unit, w), _free(tiles.random(number + 10, seed), unit).kept("start"), number, tolerance=TOLERANCE)
+        new = leading(unit, w)
         for old in (sv.df, model.df, dots, w.df):
             store.drop(old)
         sv = new
